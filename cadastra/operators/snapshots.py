@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadastra.runtime import absent, absent_number, latest_rows
+from cadastra.runtime import absent, absent_number, latest_rows, materialize
 
 CHUNK_ROWS = 64
 SEED_TEXT = "\x01"
@@ -98,7 +98,8 @@ def changed_records(
     spark = df.sparkSession
     shards = shards or max(64, 16 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = keyed_digests(df, key, snapshot, group, stamp, list(snapshot_meta), list(json_columns), shards)
-    chunked = _chunked(rows, chunk_rows)
+    # written once: key, digest and chunk of every row feed the chunk digests and the final join
+    chunked = materialize(_chunked(rows, chunk_rows), "snapshots")
     digests = _chunk_digests(chunked)
 
     # deliveries: one row per group and snapshot, a handful; aggregated partially before it moves
