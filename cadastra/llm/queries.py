@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.components import connected_groups
 from cadastra.llm.packing import packed
+from cadastra.llm.stuffing import stuffed_pages
 from cadastra.llm.survivors import fused_values, surviving_records, usable_acres, usable_phone
 from cadastra.llm.tokens import token_counts, token_ids
 from cadastra.runtime import absent, latest_rows, record_key, table
@@ -61,8 +62,12 @@ def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(token_counts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "container_spec"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stuffed_pages(table(spark, sf_dir, "documents")).select(F.col("doc").alias("doc_id"))
+
+
 def queries() -> dict:
-    return {"p4_found": p4_found, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed}
+    return {"p4_found": p4_found, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
 
 
 _P4 = """
