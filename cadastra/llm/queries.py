@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadastra.llm.addresses import same_places
 from cadastra.llm.components import connected_groups
 from cadastra.llm.packing import packed
 from cadastra.llm.stuffing import stuffed_pages
@@ -13,6 +14,20 @@ from cadastra.llm.tokens import token_counts, token_ids
 from cadastra.runtime import absent, latest_rows, record_key, table
 
 
+def postal_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, address, city, state, zip5) of the current facilities and association certificates."""
+    facilities = latest_rows(table(spark, sf_dir, "cms_general"), ["source_id", "natural_key"], columns=["address_line_1", "city", "state", "zip5", "loaded_at"])
+    contacts = latest_rows(table(spark, sf_dir, "enrich_hoa_pdf_contact"), ["source_id", "natural_key"], "enriched_at", columns=["hoa_mailing_address", "enriched_at"])
+    none = F.lit(None).cast("string")
+    a = facilities.select(record_key().alias("key"), F.col("address_line_1").alias("address"), "city", "state", "zip5")
+    b = contacts.select(record_key().alias("key"), F.col("hoa_mailing_address").alias("address"), none.alias("city"), none.alias("state"), none.alias("zip5"))
+    return a.unionByName(b)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_places(postal_addresses(spark, sf_dir))
+
+
 def stated_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(a, b) of every link between records; a run's cluster is a vertex of its own, marked by a blank in front."""
     pairs = table(spark, sf_dir, "pending_pairs").select(record_key("source_id_a", "natural_key_a").alias("a"), record_key("source_id_b", "natural_key_b").alias("b"), "status", "created_at", "pending_pair_id")
@@ -67,7 +82,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p4_found": p4_found, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
+    return {"p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
 
 
 _P4 = """
@@ -104,4 +119,4 @@ QUALIFY row_number() OVER (PARTITION BY cluster_id, field_name ORDER BY rnk, loa
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p7_found": _P7}
+    return {"p3_found": p3_found, "p4_found": _P4, "p7_found": _P7}
