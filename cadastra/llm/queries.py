@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.addresses import same_places
 from cadastra.llm.components import connected_groups
+from cadastra.llm.entities import matched_entities
 from cadastra.llm.packing import packed
 from cadastra.llm.stuffing import stuffed_pages
 from cadastra.llm.survivors import fused_values, surviving_records, usable_acres, usable_phone
@@ -46,6 +47,22 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.join(sizes, "group").select(F.col("vertex").alias("record_key"), "group_key")
 
 
+def _facility_columns(df: DataFrame) -> DataFrame:
+    rows = latest_rows(df, ["source_id", "natural_key"], columns=["name_raw", "name_normalized", "address_line_1", "city", "state", "zip5", "phone_raw", "phone_normalized", "latitude", "longitude", "ein", "loaded_at"])
+    return rows.withColumn("key", record_key()).withColumnRenamed("address_line_1", "address").drop("source_id", "natural_key", "loaded_at")
+
+
+def p5_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches with their confidence."""
+    facilities = _facility_columns(table(spark, sf_dir, "cms_general"))
+    providers = _facility_columns(table(spark, sf_dir, "staging_sites").where("source_id = 'nppes_practice_locations'"))
+    return matched_entities(facilities, providers).select(F.col("record").alias("rec_a"), F.col("query").alias("rec_b"), F.round("confidence", 6).alias("confidence"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_matches(spark, sf_dir).select("rec_a", "rec_b")
+
+
 P7_FIELDS = {"acres_published": usable_acres, "maintained_acres": usable_acres, "phone": usable_phone}
 
 
@@ -82,7 +99,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
+    return {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
 
 
 _P4 = """
