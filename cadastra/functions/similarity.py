@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.functions.geo import haversine_km
 from cadastra.functions.text import normalize_name, normalize_phone
@@ -47,7 +48,7 @@ def _jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler, prefix of up to four letters, boosted above 0.7 only; each distinct pair is computed once a batch."""
     pairs = list(zip(a.fillna(""), b.fillna("")))

@@ -62,7 +62,7 @@ def packed_state(c: Column) -> Column:
 
 def _packed_parts(c: Column) -> Column:
     rest = F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), r"\b[A-Z]{2}\s+[0-9]{5}$", "")
-    return F.transform(F.split(F.regexp_replace(rest, "[ ,]+$", ""), ","), F.trim)
+    return F.transform(F.split(F.regexp_replace(rest, "[ ,]+$", ""), ","), lambda p: F.trim(p))
 
 
 def packed_city(c: Column) -> Column:

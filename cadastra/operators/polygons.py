@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.functions.geo import polygons
 
@@ -70,8 +71,8 @@ def _crossing_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     with np.errstate(divide="ignore", invalid="ignore"):
         t = (off[..., 0] * d2[None, :, 1] - off[..., 1] * d2[None, :, 0]) / den
         u = (off[..., 0] * d1[:, None, 1] - off[..., 1] * d1[:, None, 0]) / den
-    ok = (den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-    return (a[:, None, 1] + t * d1[:, None, 1])[ok]
+        ok = (den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        return (a[:, None, 1] + t * d1[:, None, 1])[ok]
 
 
 def intersection_area(a: np.ndarray, b: np.ndarray) -> float:
@@ -91,7 +92,7 @@ def intersection_area(a: np.ndarray, b: np.ndarray) -> float:
     return float(total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def common_area(a: pd.Series, b: pd.Series) -> pd.Series:
     """Square degrees common to two GeoJSON shapes; NULL if either is none."""
     known: dict[str, np.ndarray | None] = {}

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastra.plans import problems
+from cadastra.plans import problems, reference
 
-MODULES = [problems]
+MODULES = [problems, reference]
 
 
 def queries() -> dict:
@@ -18,4 +18,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return problems.p1_found(spark, sf_dir)
+    return reference.merge_all_survivors(spark, sf_dir)
