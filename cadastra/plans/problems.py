@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.functions.geo import usable
 from cadastra.operators.snapshots import changed_records
 from cadastra.operators.spatial import containing_regions, near_pairs
+from cadastra.operators.unit_model import inferred_units
 from cadastra.operators.units import convert_sizes, positive_amounts
 from cadastra.runtime import latest_rows, materialize, record_key, table
 
@@ -59,8 +60,17 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.unionByName(accounts).select("table_name", "record_key", "measure", F.round(F.col("amount") * 100).cast("long").alias("amount_x100"))
 
 
+def p6_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive sizes without a stated unit, with the unit that the model gives them or their way to review."""
+    columns = ["table_name", "record_key", "source_id", "account_type", "name_normalized", "size_given", "size_unit_name"]
+    sites = site_sizes(spark, sf_dir).select(F.lit("staging_sites").alias("table_name"), record_key().alias("record_key"), *columns[2:])
+    accounts = account_sizes(spark, sf_dir).select(F.lit("resolved_account").alias("table_name"), F.col("account_key").alias("record_key"), F.col("vertical").alias("source_id"), "account_type", F.lit(None).cast("string").alias("name_normalized"), *columns[5:])
+    both = materialize(sites.unionByName(accounts), "sizes")
+    return inferred_units(both).withColumn("confidence", F.round("confidence", 4))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p6_found": p6_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p6_found": p6_found, "p6_inferred": p6_inferred}
 
 
 def _p1_sql(table_name: str, key: str, texts: list[str], numbers: list[str], jsons: list[str]) -> str:

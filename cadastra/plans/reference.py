@@ -557,10 +557,10 @@ def empty_key_fraction(spark, sf_dir):
 
 # --- collapse and sequence ------------------------------------------------------------------------------------------------
 
-@query("lodging_funnel_collapse", "SELECT l_orderkey, max(l_quantity) AS units, count(*) AS unit_rows, CAST(date_diff('day', DATE '1970-01-01', CAST(arg_min(l_shipdate, l_linenumber) AS DATE)) AS BIGINT) AS first_ship FROM lineitem WHERE l_linestatus = 'F' AND l_quantity >= 20 GROUP BY 1")
+@query("lodging_funnel_collapse", "SELECT l_orderkey, max(l_quantity) AS units, count(*) AS unit_rows, CAST(date_diff('day', DATE '1970-01-01', CAST(arg_min(l_shipdate, (l_linenumber, l_shipdate)) AS DATE)) AS BIGINT) AS first_ship FROM lineitem WHERE l_linestatus = 'F' AND l_quantity >= 20 GROUP BY 1")
 def lodging_funnel_collapse(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F' AND l_quantity >= 20")
-    return l.groupBy("l_orderkey").agg(F.max("l_quantity").alias("units"), F.count("*").alias("unit_rows"), F.datediff(F.to_date(F.min_by("l_shipdate", "l_linenumber")), F.lit("1970-01-01").cast("date")).cast("long").alias("first_ship"))
+    return l.groupBy("l_orderkey").agg(F.max("l_quantity").alias("units"), F.count("*").alias("unit_rows"), F.datediff(F.to_date(F.min_by("l_shipdate", F.struct("l_linenumber", "l_shipdate"))), F.lit("1970-01-01").cast("date")).cast("long").alias("first_ship"))
 
 
 @query("funnel_counts", "SELECT count(*) AS all_rows, count(*) FILTER (WHERE l_linestatus = 'F') AS open_rows, count(*) FILTER (WHERE l_linestatus = 'F' AND l_quantity >= 20) AS sized_rows, count(DISTINCT CASE WHEN l_linestatus = 'F' AND l_quantity >= 20 THEN l_orderkey END) AS licenses FROM lineitem")
