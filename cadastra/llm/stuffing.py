@@ -31,7 +31,7 @@ MIN_EVIDENCE = 5
 
 def _pages(documents: DataFrame, doc: str, text: str, url: str) -> DataFrame:
     t = F.regexp_replace(F.col(text), "[​‌‍­﻿]", "")
-    base = documents.where(F.length(F.trim(F.col(text))) > 0).select(F.col(doc).alias("doc"), t.alias("t"), F.lower(F.regexp_extract(F.col(url), r"://([^/:?#]+)", 1)).alias("host"))
+    base = documents.where(F.col(text).rlike(r"\S")).select(F.col(doc).alias("doc"), t.alias("t"), F.lower(F.regexp_extract(F.col(url), r"://([^/:?#]+)", 1)).alias("host"))
     links = F.regexp_extract_all(F.col("t"), F.lit(URL), F.lit(0))
     rest = F.regexp_replace(F.col("t"), URL, " ")
     rest = F.when(F.contains(F.col("t"), F.lit("#")), F.regexp_replace(rest, r"(?<=\p{Ll})(?=\p{Lu})", " ")).otherwise(rest)

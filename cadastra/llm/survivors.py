@@ -29,7 +29,7 @@ def surviving_records(members: DataFrame, ranks: DataFrame, fields: dict[str, Co
     lowest = ranks.groupBy(F.col(source).alias("_source")).agg(F.min(rank).alias("_rank"))
     rows = members.where(F.col(group).isNotNull() & F.col(key).isNotNull())
     rows = rows.join(broadcast_if_small(lowest, 1 << 20), rows[source] == lowest["_source"], "left")
-    late = F.coalesce(-F.unix_micros(F.col(stamp)), F.lit((1 << 63) - 1))
+    late = F.coalesce(-F.unix_micros(F.col(stamp).cast("timestamp")), F.lit((1 << 63) - 1))
     order = F.struct(F.coalesce(F.col("_rank"), F.lit((1 << 31) - 1)).alias("r"), late.alias("t"), F.col(key).alias("k"))
     best = rows.groupBy(group).agg(F.count("*").alias("_n"), *[F.min(F.when(test, order)).alias(name) for name, test in fields.items()])
     told = F.array(*[F.struct(F.lit(name).alias("field_name"), F.col(name)["k"].alias(key)) for name in fields])
@@ -61,14 +61,14 @@ def fused_values(claims: DataFrame, *, rounds: int = 3, prior_accuracy: float =
     dependence = None
     for _ in range(rounds):
         each = votes.select("grp", "field", "value", "sources", F.explode("sources").alias("source"))
-        if dependence is not None:
+        if dependence is None:
+            each = each.withColumn("own", F.lit(1.0))
+        else:
             # a source's vote counts for the chance that it copied from none of the value's other sources before it
             pairs = each.select("grp", "field", "value", "source", F.explode("sources").alias("other")).where("other < source")
             pairs = pairs.join(broadcast_if_small(dependence), ["source", "other"])
             own = pairs.groupBy("grp", "field", "value", "source").agg(F.exp(F.sum(F.log(1 - copy_rate * F.col("copies")))).alias("own"))
             each = each.join(own, ["grp", "field", "value", "source"], "left").withColumn("own", F.coalesce("own", F.lit(1.0)))
-        else:
-            each = each.withColumn("own", F.lit(1.0))
         scored = each.join(broadcast_if_small(accuracy), "source").groupBy("grp", "field", "value").agg(
             F.sum(F.col("own") * (_score(F.col("accuracy")) + F.log(F.lit(float(false_values))))).alias("score"), F.first("sources").alias("sources"))
         # log-sum-exp as two aggregates, so that an item of many values is never one task's list
@@ -78,7 +78,7 @@ def fused_values(claims: DataFrame, *, rounds: int = 3, prior_accuracy: float =
         total = above.groupBy("grp", "field").agg((F.sum("mass") + F.first(unsaid)).alias("total"))
         found = materialize(above.join(total, ["grp", "field"]).select("grp", "field", "value", "sources", (F.col("mass") / F.col("total")).alias("probability")), "fusion")
         said = found.select(F.explode("sources").alias("source"), "probability")
-        accuracy = materialize(said.groupBy("source").agg(F.least(F.lit(0.99), F.greatest(F.lit(0.05), F.avg("probability"))).alias("accuracy")), "accuracy")
+        accuracy = materialize(said.groupBy("source").agg(F.least(F.lit(0.95), F.greatest(F.lit(0.05), F.avg("probability"))).alias("accuracy")), "accuracy")
         dependence = materialize(_dependence(found, accuracy, false_values, copy_prior, copy_rate), "dependence")
     order = F.struct(-F.col("probability"), F.col("value"))
     return found.groupBy("grp", "field").agg(F.min_by(F.struct("value", "probability", "sources"), order).alias("best")).select("grp", "field", "best.*")
