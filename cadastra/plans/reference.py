@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import keys as K
 from cadastra.functions import text as X
+from cadastra.functions.certificates import certificate_fields as parse_fields
 from cadastra.functions.geo import haversine_km
 from cadastra.functions.similarity import compound_name_similarity, jaro_winkler, name_similarity, trigram_similarity
-from cadastra.operators import core, keyed, linkage, managers, polygons, quality, spatial
+from cadastra.operators import core, enrichment, keyed, linkage, managers, polygons, quality, spatial
 from cadastra.runtime import absent, absent_number, latest_rows, materialize, record_key, table
 
 SITE_COLUMNS = ["source_id", "natural_key", "vertical", "account_type", "name_raw", "name_normalized", "address_line_1", "city", "state", "zip5", "phone_raw", "phone_normalized", "latitude", "longitude", "segment", "ein", "size_value", "loaded_at"]
@@ -586,6 +587,73 @@ def resolve_segment_leads(spark, sf_dir):
     return sites(spark, sf_dir).where("vertical = 'deathcare'").select("source_id", "natural_key", seg.alias("segment"), (~seg.isin("municipal", "federal") & ~absent(F.col("name_normalized"))).alias("is_lead"))
 
 
+# --- enrichment -----------------------------------------------------------------------------------------------------------
+
+@query("certificate_fields")
+def certificate_fields(spark, sf_dir):
+    """Documents that carry numbered certificate fields, and the certificates' own address blocks as field 5."""
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", parse_fields(F.col("text")).alias("f")).select("doc_id", "f.*").where("enrich_status = 'ok'")
+
+
+ASSESSOR = f"""WITH l AS (SELECT natural_key AS key, state AS county, {name('address_line_1')} AS addr FROM {CMS} WHERE {present('address_line_1')}),
+  p AS (SELECT natural_key AS parcel, state AS county, {name('address_line_1')} AS p_addr, size_value AS acres FROM {SITES} WHERE source_id = 'nppes_practice_locations' AND {present('address_line_1')} AND state IN ('TX', 'FL', 'NC') AND {name('address_line_1')} <> ''),
+  near AS (SELECT key, parcel, acres, addr AS na, p_addr AS nb FROM l JOIN p ON l.county = p.county AND left(addr, 5) = left(p_addr, 5)),
+  alone AS (SELECT key, parcel, acres, addr AS na, p_addr AS nb FROM l JOIN p ON l.county = p.county WHERE key NOT IN (SELECT key FROM near)),
+  best AS (SELECT key, parcel, score FROM (SELECT key, parcel, {LEV} AS score FROM (SELECT * FROM near UNION ALL SELECT * FROM alone)) QUALIFY row_number() OVER (PARTITION BY key ORDER BY score DESC, parcel) = 1)
+  SELECT l.key, CASE WHEN score >= 0.7 THEN parcel END AS parcel, round(CASE WHEN score >= 0.7 THEN score END, 6) AS score, CASE WHEN l.county NOT IN (SELECT county FROM p) THEN 'bad_county' WHEN coalesce(score, 0) < 0.7 THEN 'no_match' ELSE 'found' END AS status FROM l LEFT JOIN best USING (key)"""
+
+
+@query("assessor_best_match", ASSESSOR)
+def assessor_best_match(spark, sf_dir):
+    l = facilities(spark, sf_dir).where(~absent(F.col("address_line_1"))).select(F.col("natural_key").alias("key"), F.col("state").alias("county"), F.col("address_line_1").alias("address"))
+    p = sites(spark, sf_dir).where((F.col("source_id") == "nppes_practice_locations") & F.col("state").isin("TX", "FL", "NC") & ~absent(F.col("address_line_1"))).select(F.col("natural_key").alias("parcel"), F.col("state").alias("county"), F.col("address_line_1").alias("address"), F.col("size_value").alias("acres"))
+    out = enrichment.best_address(materialize(l, "locations"), materialize(p, "parcels"))
+    return out.select("key", "parcel", F.round("score", 6).alias("score"), F.when(F.col("status").isin("ok", "no_acreage"), "found").otherwise(F.col("status")).alias("status"))
+
+
+@query("layer_routing_status", "SELECT natural_key AS key, CASE WHEN state = 'FL' THEN 'statewide' WHEN state = 'TX' AND county_fips < '48200' THEN 'county' END AS layer, CASE WHEN state NOT IN ('FL', 'TX') THEN 'state_not_supported' WHEN state = 'TX' AND NOT coalesce(county_fips < '48200', FALSE) THEN 'county_not_configured' ELSE 'ok' END AS status FROM gov_unit_boundary WHERE state IS NOT NULL")
+def layer_routing_status(spark, sf_dir):
+    g = table(spark, sf_dir, "gov_unit_boundary").where("state IS NOT NULL").select(F.col("natural_key").alias("key"), "state", F.col("county_fips").alias("fips"))
+    local = g.where("state = 'TX' AND fips < '48200'").select("state", "fips", F.lit("county").alias("layer")).distinct()
+    wide = spark.createDataFrame([("FL", None, "statewide"), ("TX", "none", "county")], "state string, fips string, layer string")
+    return enrichment.route_layers(g, wide.unionByName(local)).select("key", "layer", "status")
+
+
+@query("geocode_answers", f"SELECT natural_key AS id, latitude, longitude, CASE WHEN latitude IS NULL THEN NULL WHEN length(natural_key) % 2 = 0 THEN 'rooftop' ELSE 'street' END AS precision, CASE WHEN latitude IS NULL THEN 'no_match' ELSE 'ok' END AS status FROM (SELECT natural_key, CASE WHEN isnan(latitude) OR isnan(longitude) OR longitude IS NULL THEN NULL ELSE latitude END AS latitude, CASE WHEN isnan(longitude) OR isnan(latitude) OR latitude IS NULL THEN NULL ELSE longitude END AS longitude FROM {CMS})")
+def geocode_answers(spark, sf_dir):
+    ok = ~absent_number(F.col("latitude")) & ~absent_number(F.col("longitude"))
+    at = F.concat(F.lit('"'), F.col("longitude").cast("string"), F.lit(","), F.col("latitude").cast("string"), F.lit('"'))
+    line = F.concat_ws(",", "natural_key", F.lit('"1 A St, Town"'), F.when(ok, "Match").otherwise("No_Match"), F.when(ok, F.when(F.length("natural_key") % 2 == 0, "Exact").otherwise("Non_Exact")).otherwise(""), F.lit('"1 A ST, TOWN"'), F.when(ok, at).otherwise(""))
+    return enrichment.geocoder_answers(facilities(spark, sf_dir).select(line.alias("value")))
+
+
+@query("best_place_match", f"""WITH c AS (SELECT a.natural_key AS key, b.natural_key AS place, CASE WHEN len(list_intersect(list_filter(string_split(upper(a.name_raw), ' '), lambda w: length(w) > 3), string_split(upper(b.name_raw), ' '))) > 0 THEN 4 ELSE 0 END
+    + CASE WHEN a.city <> '' AND contains(upper(b.address_line_1 || ', ' || b.city || ' ' || b.state), upper(a.city)) THEN 3 ELSE 0 END + CASE WHEN a.state <> '' AND contains(upper(b.address_line_1 || ', ' || b.city || ' ' || b.state), upper(a.state)) THEN 2 ELSE 0 END AS score
+    FROM {CMS} a JOIN {SITES} b ON a.zip5 = b.zip5 AND b.source_id = 'nppes_practice_locations' WHERE b.address_line_1 IS NOT NULL AND b.city IS NOT NULL AND b.state IS NOT NULL AND length(a.zip5) = 5)
+  SELECT key, place, score FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY score DESC, place) = 1""")
+def best_place_match(spark, sf_dir):
+    a = facilities(spark, sf_dir).where(F.length("zip5") == 5).select(F.col("natural_key").alias("key"), "zip5", F.col("name_raw").alias("n"), F.col("city").alias("c"), F.col("state").alias("s"))
+    b = sites(spark, sf_dir).where("source_id = 'nppes_practice_locations' AND address_line_1 IS NOT NULL AND city IS NOT NULL AND state IS NOT NULL").select(F.col("natural_key").alias("place"), "zip5", F.col("name_raw").alias("d"), F.concat(F.col("address_line_1"), F.lit(", "), F.col("city"), F.lit(" "), F.col("state")).alias("at"))
+    scored = a.join(b, "zip5").select("key", "place", X.place_score(F.col("n"), F.coalesce("c", F.lit("")), F.coalesce("s", F.lit("")), F.lit(""), F.col("d"), F.col("at")).alias("score"))
+    return enrichment.best_place(scored)
+
+
+@query("contact_survivorship", f"""WITH s AS (SELECT sha256(source_id || natural_key) AS account_key, * FROM {SITES} WHERE vertical = 'deathcare'), e AS (SELECT account_key, 'primary_phone' AS role, 'enriched' AS full_name, phone_raw AS phone FROM s WHERE {present('ein')} AND {present('phone_raw')})
+  SELECT account_key, role, full_name, phone FROM (SELECT account_key, 'primary_phone' AS role, name_raw AS full_name, phone_normalized AS phone FROM s UNION ALL SELECT account_key, 'owner', name_raw, NULL FROM s) b WHERE role <> 'primary_phone' OR account_key NOT IN (SELECT account_key FROM e) UNION ALL SELECT * FROM e""")
+def contact_survivorship(spark, sf_dir):
+    s = sites(spark, sf_dir).where("vertical = 'deathcare'").withColumn("account_key", F.sha2(F.concat("source_id", "natural_key"), 256))
+    contact = lambda df, role, who, phone: df.select("account_key", F.lit(role).alias("role"), who.alias("full_name"), phone.alias("phone"))
+    base = contact(s, "primary_phone", F.col("name_raw"), F.col("phone_normalized")).unionByName(contact(s, "owner", F.col("name_raw"), F.lit(None).cast("string")))
+    enriched = contact(s.where(~absent(F.col("ein")) & ~absent(F.col("phone_raw"))), "primary_phone", F.lit("enriched"), F.col("phone_raw"))
+    return enrichment.merged_contacts(base, enriched)
+
+
+@query("parcel_totals", "SELECT CAST(l_orderkey AS VARCHAR) AS key, round(sum(CASE WHEN l_quantity > 0 THEN l_quantity END), 4) AS acres, CASE WHEN count(*) > 1 THEN 'ok_multi_parcel' ELSE 'ok' END AS status FROM lineitem GROUP BY 1")
+def parcel_totals(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("key"), F.col("l_partkey").cast("string").alias("parcel"), F.col("l_quantity").alias("acres"), F.col("l_suppkey").cast("string").alias("owner"))
+    return enrichment.parcel_totals(l).select("key", "acres", "status")
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
