@@ -17,7 +17,9 @@ from cadastra.runtime import absent, materialize
 
 K1, B = 1.2, 0.3
 #: Share of a query's own score below which a record is never a candidate.
-FLOOR = 0.4
+FLOOR = 0.5
+#: Share of records above which a name word is too usual to be worth a token together with the town.
+USUAL_SHARE = 0.01
 #: Rows that the calibration is fitted on at most; they are taken by hash.
 TRAINING_ROWS = 50_000
 # Words of facility names and their abbreviations.
@@ -57,13 +59,13 @@ def attributes(records: DataFrame) -> DataFrame:
     return base.join(signed, "key", "left").withColumn("town", F.coalesce("town", "city")).drop("city")
 
 
-def _tokens(around: bool) -> Column:
-    """All attributes as tokens; name words also together with the town, numbers also with a street word."""
+def _tokens(around: bool, usual: list[str]) -> Column:
+    """All attributes as tokens; name words but the usual ones also together with the town, numbers also with a street word."""
     tag = lambda mark, c: F.when(c.isNotNull(), F.concat(F.lit(mark), c))
     own = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array(*[_cell(F.col("lat"), F.col("lon"), y, x) for y in ((-1, 0, 1) if around else (0,)) for x in ((-1, 0, 1) if around else (0,))]))
     parts = F.concat(
         F.transform("name", lambda w: F.concat(F.lit("n:"), w)),
-        F.coalesce(F.transform("name", lambda w: F.concat(F.lit("x:"), w, F.lit("@"), F.col("town"))), F.array().cast("array<string>")),
+        F.coalesce(F.transform(F.filter("name", lambda w: ~w.isin(usual)), lambda w: F.concat(F.lit("x:"), w, F.lit("@"), F.col("town"))), F.array().cast("array<string>")),
         F.coalesce(F.transform("words", lambda w: F.concat(F.lit("a:"), F.col("digits"), F.lit(" "), w)), F.array().cast("array<string>")),
         F.array(tag("d:", F.concat_ws("@", "digits", "town")), tag("t:", F.col("town")), tag("z:", F.col("zip")), tag("p:", F.col("phone")), tag("e:", F.col("ein"))),
         F.coalesce(own, F.array().cast("array<string>")),
@@ -77,14 +79,18 @@ def candidates(records: DataFrame, queries: DataFrame, *, floor: float = FLOOR)
     `records` and `queries` are attributes(). A query's tokens are read from the rarest on; reading stops when those left
     can't add up to the floor, so no pair that reaches it is missed, and the longest postings are never read.
     """
-    docs = records.select(F.col("key").alias("record"), _tokens(False).alias("tokens"))
+    # each of these words stands in over a hundredth of all names: a short list at any size
+    everyone = records.count()
+    counted = records.select(F.explode("name").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    usual = [x.w for x in counted.where(F.col("n") > max(2.0, USUAL_SHARE * everyone)).collect()]
+    docs = records.select(F.col("key").alias("record"), _tokens(False, usual).alias("tokens"))
     docs = materialize(docs.withColumn("len", F.size("tokens")), "docs")
     stats = docs.agg(F.count("*").alias("n"), F.coalesce(F.avg("len"), F.lit(1.0)).alias("avg")).first()
     n, avg = float(stats["n"]), float(stats["avg"])
     postings = docs.select("record", ((K1 + 1) / (1 + K1 * (1 - B + B * F.col("len") / avg))).alias("norm"), F.explode("tokens").alias("t"))
     idf = postings.groupBy("t").agg(F.count("*").alias("df"), F.max("norm").alias("top"))
     idf = idf.select("t", "df", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("w"), "top")
-    asked = queries.select(F.col("key").alias("query"), F.explode(_tokens(True)).alias("t"))
+    asked = queries.select(F.col("key").alias("query"), F.explode(_tokens(True, usual)).alias("t"))
     asked = asked.join(idf, "t")
     # what a record could score at most, and the query's own score: its tokens at the usual length, the nine cells as one
     cell = F.col("t").startswith("g:")
