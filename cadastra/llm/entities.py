@@ -17,7 +17,7 @@ from cadastra.runtime import absent, materialize
 
 K1, B = 1.2, 0.3
 #: Share of a query's own score below which a record is never a candidate.
-FLOOR = 0.5
+FLOOR = 0.4
 #: Share of records above which a name word is too usual to be worth a token together with the town.
 USUAL_SHARE = 0.01
 #: Rows that the calibration is fitted on at most; they are taken by hash.
