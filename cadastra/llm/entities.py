@@ -32,6 +32,9 @@ NAME_WORDS = {
 EMPTY_WORDS = ["THE", "AND", "OF", "AT", "A", "S", "L", "C", "P", "INC", "LLC", "LP", "LTD", "CORP", "CO", "DBA", "PC", "PA", "PLLC", "ASSOC", "ASSOCS", "ASSOCIATES", "ASSN"]
 
 
+RECORD_COLUMNS = ["name_raw", "name_normalized", "address", "city", "state", "zip5", "phone_raw", "phone_normalized", "latitude", "longitude", "ein"]
+
+
 def name_words(c: Column) -> Column:
     table = F.create_map(*[F.lit(x) for kv in NAME_WORDS.items() for x in kv])
     words = F.split(F.trim(F.regexp_replace(F.regexp_replace(F.upper(c), "['’]S\\b", ""), "[^A-Z0-9]+", " ")), " ")
@@ -183,8 +186,12 @@ def matched_entities(records: DataFrame, queries: DataFrame, *, accept: float =
     logistic regression over score gaps and agreements decides the rest. It is fitted on at most `training_rows` pairs of
     each kind, taken by hash, so that a hot name can't crowd out the others.
     """
-    r = materialize(attributes(records.where("key IS NOT NULL")), "records")
-    q = materialize(attributes(queries.where("key IS NOT NULL")), "queries")
+    # both tables in one pass: one plan, and one list of towns
+    columns = [F.col(c) for c in RECORD_COLUMNS]
+    both = records.where("key IS NOT NULL").select(F.concat(F.lit("r"), "key").alias("key"), *columns)
+    both = both.unionByName(queries.where("key IS NOT NULL").select(F.concat(F.lit("q"), "key").alias("key"), *columns))
+    parsed = materialize(attributes(both), "attributes")
+    r, q = (parsed.where(F.col("key").startswith(side)).withColumn("key", F.substring("key", F.lit(2), F.length("key"))) for side in ("r", "q"))
     found = candidates(r, q)
     everyone = r.select("key", "name", "town").unionByName(q.select("key", "name", "town"))
     total = float(max(1, everyone.count()))
