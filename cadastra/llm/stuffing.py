@@ -4,6 +4,10 @@ Pages dense in search modifiers seed the class of stuffed pages. Every word is w
 stuffed pages' hosts than of the other pages' hosts use it; a shingle of five words is stuffed if its words' weights
 sum above zero. Pages stitched mostly from stuffed shingles and links seed the next round, so phrases without any
 modifier, sentences built around them and languages the seeds don't know are learned from where they're replicated.
+
+The last round takes every overlapping shingle and counts the distinct hosts that use it on stuffed and on other
+pages. A shingle of enough hosts is stuffed if more of them use it on stuffed pages; only one of fewer hosts is left
+to the words. One of at most two words that stands again and again in its page is stuffed at any number of hosts.
 """
 
 from __future__ import annotations
@@ -21,8 +25,10 @@ MODIFIER_WORDS = ["cheap", "cheapest", "best", "buy", "discount", "online", "aff
 MODIFIER_PHRASES = r"near me|top rated|free quote|low price|#1|24/7|el mejor|24 horas|en línea|cerca de mí|pas cher|en ligne|près de chez|à vendre"
 #: Share of modifiers from which a page seeds the stuffed class, and below which the other one.
 SEED_SHARE, CLEAN_SHARE = 0.06, 0.02
-#: Hosts that must use a word before it has a weight.
+#: Hosts that must use a word before it has a weight, or a shingle before its hosts decide on it.
 MIN_HOSTS = 3
+#: Times that a shingle of one or two words stands in its page to be a repeated keyword.
+MIN_REPEATS = 3
 #: Share of stuffed characters from which a page is a case; pages about one phrase in real sentences reach 0.65.
 STUFFED_SHARE = 0.7
 #: Stuffed shingles and links that a case has at least: less is a short line of tags or a stray heading.
@@ -69,24 +75,62 @@ def _scored(pages: DataFrame, weights: DataFrame) -> DataFrame:
     return sums.select("doc", share.alias("share"), (F.col("hits") + F.col("links")).alias("evidence"), "links")
 
 
+def _shingles(pages: DataFrame) -> DataFrame:
+    """(doc, host, shingle, words, repeats): every overlapping shingle of a page once, with how often it stands there."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - SHINGLE, F.lit(0)))
+    rows = pages.select("doc", "host", F.explode(F.transform(starts, lambda i: F.slice("words", i + 1, SHINGLE))).alias("words"))
+    return rows.groupBy("doc", "host", F.xxhash64("words").alias("shingle")).agg(F.first("words").alias("words"), F.count("*").alias("repeats"))
+
+
+def _phrase_hosts(shingles: DataFrame, labels: DataFrame) -> DataFrame:
+    """(shingle, hosts, more): the distinct hosts of each shingle that any two have, and whether more of them use it on stuffed pages than on others."""
+    seen = shingles.select("doc", "host", "shingle").join(broadcast_if_small(labels), "doc", "left")
+    by_host = seen.groupBy("shingle", "host").agg(F.max(F.col("stuffed").cast("int")).alias("s"), F.max((~F.col("stuffed")).cast("int")).alias("o"))
+    by_shingle = by_host.groupBy("shingle").agg(F.count("*").alias("hosts"), F.coalesce(F.sum("s"), F.lit(0)).alias("s"), F.coalesce(F.sum("o"), F.lit(0)).alias("o"))
+    return by_shingle.where("hosts > 1").select("shingle", "hosts", (F.col("s") > F.col("o")).alias("more"))
+
+
+def _phrased(pages: DataFrame, weights: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc, share, evidence, links, replicated, repeated) by the hosts and repeats of overlapping shingles, and by words where these don't tell."""
+    shingles = materialize(_shingles(pages.where(F.size("words") > 0)), "shingles")
+    hosts = materialize(_phrase_hosts(shingles, labels), "phrases")
+    rows, weights = shingles.join(hosts, "shingle", "left"), broadcast_if_small(weights)
+    total: Column = F.lit(0.0)
+    for i in range(SHINGLE):
+        rows = rows.withColumn(f"w{i}", F.get("words", F.lit(i))).join(weights.select(F.col("word").alias(f"w{i}"), F.col("weight").alias(f"g{i}")), f"w{i}", "left")
+        total = total + F.coalesce(f"g{i}", F.lit(0.0))
+    chars = F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w)) * F.col("repeats")
+    few = (F.size("words") == SHINGLE) & (F.size(F.array_distinct("words")) <= 2) & ~F.array_contains("words", "9")
+    again = few & (F.col("repeats") >= MIN_REPEATS)
+    told = F.col("hosts") >= MIN_HOSTS
+    rows = rows.select("doc", "repeats", chars.alias("chars"), F.coalesce(told, F.lit(False)).alias("told"), again.alias("again"), (again | F.when(told, F.col("more")).otherwise(total > 0)).alias("hit"))
+    part = lambda c: F.sum(F.when(F.col(c), F.col("chars")).otherwise(0)).alias(c)
+    sums = rows.groupBy("doc").agg(F.sum("chars").alias("all"), part("hit"), part("told"), part("again"), F.sum(F.when(F.col("hit"), F.col("repeats")).otherwise(0)).alias("hits"))
+    word_chars = F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w))
+    out = pages.select("doc", "links", "link_chars", word_chars.alias("chars")).join(sums, "doc", "left")
+    of = lambda c: F.coalesce(F.col(c) / F.greatest("all", F.lit(1)), F.lit(0.0))
+    share = (of("hit") * F.col("chars") + F.col("link_chars")) / F.greatest(F.col("chars") + F.col("link_chars"), F.lit(1))
+    # the overlapping shingles of a run of words as the disjoint ones it has
+    hits = F.when(F.col("hits") > 0, F.ceil((F.col("hits") + SHINGLE - 1) / SHINGLE)).otherwise(0)
+    return out.select("doc", share.alias("share"), (hits + F.col("links")).alias("evidence"), "links", of("told").alias("replicated"), of("again").alias("repeated"))
+
+
 def stuffing_scores(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", url: str = "url", rounds: int = 3) -> DataFrame:
-    """(doc, share, evidence, links) of every document with text: the share of its characters that stand in stuffed
-    shingles or links, the number of those, and of links alone.
+    """(doc, share, evidence, links, replicated, repeated) of every document with text: the share of its characters that
+    stand in stuffed shingles or links, the number of those, and of links alone; the shares of its shingles' characters
+    in shingles of MIN_HOSTS hosts or more, stuffed or not, and in repeated keywords.
 
     NULL, empty and blank texts have no row. A document without a host counts as a host of its own. Documents with
     the same id would be scored as one. The word table travels to the tasks if its files are small, else Spark
-    joins it by word.
+    joins it by word; the shingles' hosts are always counted and joined by shingle.
     """
     pages = materialize(_pages(documents, doc, text, url), "pages")
     labelled = pages.withColumn("stuffed", F.when((F.col("modifier_share") >= SEED_SHARE) & (F.size("words") >= 2 * SHINGLE), True).when(F.col("modifier_share") < CLEAN_SHARE, False))
-    for r in range(rounds):
-        weights = materialize(_weights(labelled), "weights")
-        scores = _scored(pages, weights)
-        if r < rounds - 1:
-            scores = materialize(scores, "scores")
-            told = F.when((F.col("share") >= 0.5) & (F.col("evidence") - F.col("links") >= MIN_EVIDENCE - 1), True).when(F.col("share") < 0.25, False)
-            labelled = pages.join(scores.select("doc", told.alias("stuffed")), "doc")
-    return scores
+    for _ in range(rounds - 1):
+        scores = materialize(_scored(pages, materialize(_weights(labelled), "weights")), "scores")
+        told = F.when((F.col("share") >= 0.5) & (F.col("evidence") - F.col("links") >= MIN_EVIDENCE - 1), True).when(F.col("share") < 0.25, False)
+        labelled = pages.join(scores.select("doc", told.alias("stuffed")), "doc")
+    return _phrased(pages, materialize(_weights(labelled), "weights"), materialize(labelled.select("doc", "stuffed"), "labels"))
 
 
 def stuffed_pages(documents: DataFrame, *, share: float = STUFFED_SHARE, evidence: int = MIN_EVIDENCE, **columns) -> DataFrame:

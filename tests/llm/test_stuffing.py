@@ -52,3 +52,15 @@ def test_scores_have_one_row_per_text(spark):
 
 def test_empty_table(spark):
     assert stuffed_pages(spark.createDataFrame([], COLS)).count() == 0
+
+
+def test_a_word_repeated_on_one_host_is_a_case(spark):
+    rows, spam = corpus()
+    assert {r.doc for r in stuffed_pages(spark.createDataFrame(rows, COLS)).collect()} == spam | {1004}
+
+
+def test_shingles_are_counted_by_distinct_hosts(spark):
+    phrase = "one phrase of just five"
+    rows = [(i, phrase, f"https://h{i % 3}.example/{i}") for i in range(6)] + [(10 + i, "another of five words here", f"https://h{i % 2}.example/{i}") for i in range(6)]
+    got = {r.doc: r.replicated for r in stuffing_scores(spark.createDataFrame(rows, COLS)).collect()}
+    assert got == {i: 1.0 for i in range(6)} | {10 + i: 0.0 for i in range(6)}
