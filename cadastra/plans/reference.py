@@ -389,10 +389,13 @@ EVENT_RECORDS = "(SELECT DISTINCT 'events' AS source_id, CAST(user_id AS VARCHAR
 
 @query("source_record_upsert", f"SELECT coalesce(o.source_id, n.source_id) AS source_id, coalesce(o.natural_key, n.natural_key) AS natural_key, coalesce(o.payload_sha, n.payload_sha) AS payload_sha, CAST(CASE WHEN o.source_id IS NULL THEN 2 ELSE 1 END AS BIGINT) AS first_run, CAST(CASE WHEN n.source_id IS NULL THEN 1 ELSE 2 END AS BIGINT) AS last_run FROM {EVENT_RECORDS.format(m=3)} o FULL JOIN {EVENT_RECORDS.format(m=5)} n ON o.source_id = n.source_id AND o.natural_key = n.natural_key AND o.payload_sha = n.payload_sha")
 def source_record_upsert(spark, sf_dir):
-    # two deliveries of the whole table, the first without every third event and the second without every fifth
-    e = table(spark, sf_dir, "events").where("props IS NOT NULL").select("event_id", F.lit("events").alias("source_id"), F.col("user_id").cast("string").alias("natural_key"), F.col("props").alias("payload"))
+    # two deliveries that together hold every row: the events up to the middle stamp, and those from it on or without one
+    e = table(spark, sf_dir, "events").where("props IS NOT NULL").select("ts", F.lit("events").alias("source_id"), F.col("user_id").cast("string").alias("natural_key"), F.col("props").alias("payload"))
+    stamp = F.col("ts").cast("timestamp")
+    middle = e.agg(F.timestamp_micros(F.floor((F.unix_micros(F.min(stamp)) + F.unix_micros(F.max(stamp))) / 2).cast("long")).alias("m")).first()["m"]
+    first = F.coalesce(stamp < F.lit(middle), F.lit(False))
     empty = spark.createDataFrame([], "source_id string, natural_key string, payload_sha string, first_run long, last_run long")
-    return core.upsert_provenance(core.upsert_provenance(empty, e.where("event_id % 3 <> 0"), 1), e.where("event_id % 5 <> 0"), 2)
+    return core.upsert_provenance(core.upsert_provenance(empty, e.where(first), 1), e.where(~first), 2)
 
 
 @query("pending_pairs_upsert", """WITH p AS (SELECT *, (source_id_a, natural_key_a) > (source_id_b, natural_key_b) AS flip FROM pending_pairs),
