@@ -125,9 +125,22 @@ PAIRS = f"(SELECT a.natural_key AS key_a, b.natural_key AS key_b, {name('a.name_
 
 
 def pairs(spark, sf_dir):
-    a = facilities(spark, sf_dir).select(F.col("natural_key").alias("key_a"), X.normalize_name(F.col("name_raw")).alias("na"), F.col("address_line_1").alias("sa"), F.col("latitude").alias("la"), F.col("longitude").alias("oa"), F.col("phone_normalized").alias("pa"), "city", "zip5", F.left("name_normalized", F.lit(4)).alias("p"))
-    b = sites(spark, sf_dir).where("source_id = 'nppes_practice_locations'").select(F.col("natural_key").alias("key_b"), X.normalize_name(F.col("name_raw")).alias("nb"), F.col("address_line_1").alias("sb"), F.col("latitude").alias("lb"), F.col("longitude").alias("ob"), F.col("phone_normalized").alias("pb"), "city", "zip5", F.left("name_normalized", F.lit(4)).alias("p"))
-    return a.join(b, ["city", "zip5", "p"]).drop("city", "zip5", "p")
+    """Facilities and provider rows that share one of the reference's blocks: state, zip and name prefix, state and phone, or a 1-degree cell; each pair once."""
+    def side(df, x):
+        phone, state = X.normalize_phone(F.col("phone_normalized")), F.coalesce("state", F.lit(""))
+        placed = ~absent_number(F.col("latitude")) & ~absent_number(F.col("longitude"))
+        blocks = F.array(
+            F.concat_ws(":", F.lit("szn"), state, X.normalize_zip(F.col("zip5")), F.left(F.coalesce("name_normalized", F.lit("")), F.lit(4))),
+            F.when(phone != "", F.concat_ws(":", F.lit("sph"), state, phone)),
+            F.when(placed, F.concat_ws(":", F.lit("geo"), F.floor("latitude").cast("string"), F.floor("longitude").cast("string"))),
+        )
+        cols = [F.col("natural_key").alias("key_" + x), X.normalize_name(F.col("name_raw")).alias("n" + x), F.col("address_line_1").alias("s" + x), F.col("latitude").alias("l" + x), F.col("longitude").alias("o" + x), F.col("phone_normalized").alias("p" + x)]
+        return df.select(*cols, F.filter(blocks, lambda k: k.isNotNull()).alias("blocks_" + x))
+
+    a = side(facilities(spark, sf_dir), "a").withColumn("block", F.explode("blocks_a"))
+    b = side(sites(spark, sf_dir).where("source_id = 'nppes_practice_locations'"), "b").withColumn("block", F.explode("blocks_b"))
+    # a pair of several blocks is taken from the first they share
+    return a.join(b, "block").where(F.get(F.array_intersect("blocks_a", "blocks_b"), F.lit(0)) == F.col("block")).drop("block", "blocks_a", "blocks_b")
 
 
 LEV = "CASE WHEN trim(na) = '' OR trim(nb) = '' THEN 0.0 ELSE 1 - levenshtein(na, nb) / CAST(greatest(length(na), length(nb)) AS DOUBLE) END"
