@@ -1,4 +1,4 @@
-"""Served tables: insert, update and tombstone against the resolved set; provenance; review pairs; run log."""
+"""Served tables: insert, update and tombstone against the resolved set; provenance; review pairs."""
 
 from __future__ import annotations
 
