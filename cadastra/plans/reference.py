@@ -607,8 +607,8 @@ def resolve_segment_leads(spark, sf_dir):
 
 @query("certificate_fields")
 def certificate_fields(spark, sf_dir):
-    """Documents that carry numbered certificate fields, and the certificates' own address blocks as field 5."""
-    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", parse_fields(F.col("text")).alias("f")).select("doc_id", "f.*").where("enrich_status = 'ok'")
+    """Every document and the certificate fields it carries; enrich_status not_found without any."""
+    return table(spark, sf_dir, "documents").select("doc_id", parse_fields(F.col("text")).alias("f")).select("doc_id", "f.*")
 
 
 ASSESSOR = f"""WITH l AS (SELECT natural_key AS key, state AS county, {name('address_line_1')} AS addr FROM {CMS} WHERE {present('address_line_1')}),
@@ -622,7 +622,7 @@ ASSESSOR = f"""WITH l AS (SELECT natural_key AS key, state AS county, {name('add
 @query("assessor_best_match", ASSESSOR)
 def assessor_best_match(spark, sf_dir):
     l = facilities(spark, sf_dir).where(~absent(F.col("address_line_1"))).select(F.col("natural_key").alias("key"), F.col("state").alias("county"), F.col("address_line_1").alias("address"))
-    p = sites(spark, sf_dir).where((F.col("source_id") == "nppes_practice_locations") & F.col("state").isin("TX", "FL", "NC") & ~absent(F.col("address_line_1"))).select(F.col("natural_key").alias("parcel"), F.col("state").alias("county"), F.col("address_line_1").alias("address"), F.col("size_value").alias("acres"))
+    p = sites(spark, sf_dir).where((F.col("source_id") == "nppes_practice_locations") & ~absent(F.col("address_line_1"))).select(F.col("natural_key").alias("parcel"), F.col("state").alias("county"), F.col("address_line_1").alias("address"), F.col("size_value").alias("acres"))
     out = enrichment.best_address(materialize(l, "locations"), materialize(p, "parcels"))
     return out.select("key", "parcel", F.round("score", 6).alias("score"), F.when(F.col("status").isin("ok", "no_acreage"), "found").otherwise(F.col("status")).alias("status"))
 

@@ -37,3 +37,17 @@ def test_pairs_of_every_block(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/staging_sites.parquet")
     got = reference.pairs(spark, str(tmp_path)).select("key_a", "key_b").collect()
     assert sorted(r.key_b for r in got) == ["all", "cell", "phone", "zip"]
+
+
+def test_every_document_has_a_certificate_status(spark, tmp_path):
+    rows = [(1, "5. Oak HOA, 1 A St"), (2, "minutes of the board"), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.enrich_status for r in reference.certificate_fields(spark, str(tmp_path)).collect()} == {1: "ok", 2: "not_found", 3: "not_found"}
+
+
+def test_parcels_of_every_state(spark, tmp_path):
+    cols = "source_id string, natural_key string, vertical string, account_type string, name_raw string, name_normalized string, address_line_1 string, city string, state string, zip5 string, phone_raw string, phone_normalized string, latitude double, longitude double, segment string, ein string, size_value double, loaded_at timestamp"
+    row = lambda source, key, state: (source, key, "healthcare", "facility", "N", "N", "12 MAIN ST", "T", state, "1", None, None, None, None, None, None, 1.0, datetime(2024, 1, 1))
+    spark.createDataFrame([row("cms_general", "sc", "SC"), row("cms_general", "none", None)], cols).write.parquet(f"{tmp_path}/cms_general.parquet")
+    spark.createDataFrame([row("nppes_practice_locations", "p", "SC")], cols).write.parquet(f"{tmp_path}/staging_sites.parquet")
+    assert {r.key: (r.parcel, r.status) for r in reference.assessor_best_match(spark, str(tmp_path)).collect()} == {"sc": ("p", "found"), "none": (None, "bad_county")}
