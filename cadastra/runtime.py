@@ -52,6 +52,12 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores, if it has fewer partitions than there are: a small table in one file is one task else."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of `df` in bytes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
