@@ -1,6 +1,8 @@
 import random
 
-from cadastra.llm.stuffing import stuffed_pages, stuffing_scores
+import pytest
+
+from cadastra.llm.stuffing import _pages, listed_phrases, stuffed_pages, stuffing_scores
 
 COLS = "doc_id long, text string, url string"
 GOODS = ["granite monuments", "pool service", "kayak rental", "dental clinic", "roof replacement", "dog park", "burial plots", "memory care"]
@@ -59,8 +61,50 @@ def test_a_word_repeated_on_one_host_is_a_case(spark):
     assert {r.doc for r in stuffed_pages(spark.createDataFrame(rows, COLS)).collect()} == spam | {1004}
 
 
-def test_shingles_are_counted_by_distinct_hosts(spark):
-    phrase = "one phrase of just five"
-    rows = [(i, phrase, f"https://h{i % 3}.example/{i}") for i in range(6)] + [(10 + i, "another of five words here", f"https://h{i % 2}.example/{i}") for i in range(6)]
-    got = {r.doc: r.replicated for r in stuffing_scores(spark.createDataFrame(rows, COLS)).collect()}
-    assert got == {i: 1.0 for i in range(6)} | {10 + i: 0.0 for i in range(6)}
+WORLDS = {
+    "en": (["copper kettle", "willow basket", "glass marble", "canvas tent", "brass lamp", "cedar chest"], PROSE),
+    "de": (["kupferner Kessel", "bunte Murmel", "grosser Weidenkorb", "alte Lampe", "neues Zelt"], [
+        "Der Vorstand trat in der Halle zusammen, und das Protokoll wurde ohne Einwand angenommen.", "Das Wasser bleibt abgestellt, bis der letzte Frost vorbei ist.",
+        "Ein Plan wurde dem Amt vorgelegt und von ihm im Mai gebilligt.", "Man sagte uns, dass die Arbeit vor dem Winter fertig werde, aber so kam es nicht."]),
+}
+
+
+@pytest.mark.parametrize("lang", list(WORLDS))
+@pytest.mark.parametrize("lookup_rows", [1000, 0])
+def test_keyword_lists_are_found_without_any_word_known(spark, lang, lookup_rows):
+    goods, prose = WORLDS[lang]
+    rng = random.Random(3)
+    rows = []
+    for i in range(240):
+        if i % 6 == 0:
+            t = [", ", " | ", "\n", " "][i // 6 % 4].join(rng.choice(goods[j % 2 :]) for j in range(40))
+        else:
+            t = " ".join(rng.choice(prose) for _ in range(8))
+        rows.append((i, t, f"https://h{i % 37}.example/{i}"))
+    got = {r.doc for r in stuffed_pages(spark.createDataFrame(rows, COLS), lookup_rows=lookup_rows).collect()}
+    assert got == set(range(0, 240, 6))
+
+
+def test_prose_alone_has_no_case(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(PROSE) for _ in range(12)), f"https://h{i % 9}.example/{i}") for i in range(60)]
+    assert stuffed_pages(spark.createDataFrame(rows, COLS)).count() == 0
+
+
+def test_phrases_count_by_distinct_hosts_that_list_them(spark):
+    listing = "brass lamp, cedar chest, brass lamp, canvas tent, canvas tent, brass lamp, canvas tent, cedar chest, brass lamp"
+    rows = [(i, listing, f"https://h{i % 2}.example/{i}") for i in range(6)]
+    assert listed_phrases(_pages(spark.createDataFrame(rows, COLS), "doc_id", "text", "url")).count() == 0
+    rows += [(9, listing, "https://h9.example/")]
+    assert listed_phrases(_pages(spark.createDataFrame(rows, COLS), "doc_id", "text", "url")).count() >= 2
+
+
+def test_repeated_sentences_list_nothing(spark):
+    rows = [(i, " ".join(PROSE * 5), f"https://h{i}.example/") for i in range(5)]
+    assert listed_phrases(_pages(spark.createDataFrame(rows, COLS), "doc_id", "text", "url")).count() == 0
+
+
+def test_extra_columns_and_repeated_rows(spark):
+    rows = [(1, "words of a page that is read by people", "https://a.example/")] * 3
+    df = spark.createDataFrame(rows, COLS).selectExpr("*", "1 AS row", "'x' AS host", "2 AS words", "3 AS value")
+    assert stuffing_scores(df).count() == 3
