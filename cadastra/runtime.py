@@ -58,6 +58,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
+def evenly(df: DataFrame) -> DataFrame:
+    """`df` over all shuffle partitions: for short rows that cost much CPU, whose partitions would be merged by their bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of `df` in bytes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
