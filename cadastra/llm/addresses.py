@@ -7,12 +7,13 @@ where both state them; suites, floors and buildings are left out.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.runtime import absent, materialize
+from cadastra.runtime import absent, evenly, materialize
 
 # The short spelling of every word that postal addresses abbreviate.
 SHORT_WORDS = {
@@ -64,6 +65,12 @@ def _deletes(c: Column) -> Column:
     return F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
 
 
+def state_code(c: Column) -> Column:
+    """A state's two letters from its letters or name; other text in capitals."""
+    t = F.upper(F.trim(F.regexp_replace(c, "[^A-Za-z]+", " ")))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in STATES.items() for x in kv]), t), t)
+
+
 def parsed_lines(addresses: DataFrame) -> DataFrame:
     """(key, line, state, zip, box, city) of (key, address, city, state, zip5): the address in short words without unit, state, zip and care-of.
 
@@ -91,11 +98,11 @@ def parsed_lines(addresses: DataFrame) -> DataFrame:
     found = F.coalesce(*[F.when(x != "", x) for x in (by_state, plus_four, at_end, later)])
     given = F.regexp_extract(F.trim("zip5"), r"^(\d{5})(?:\.0|-?\d{4})?$", 1)
     df = df.withColumn("found_zip", found)
-    rest = F.regexp_replace(t, F.concat(F.lit(r"(?<=[ ,]|^)"), F.coalesce("found_zip", F.lit("no zip")), F.lit(r"(-\d{4})?(?=[ ,]|$)")), ",")
+    rest = F.array_join(F.transform(F.split(t, " "), lambda w: F.when((w == F.col("found_zip")) | (w.rlike(r"^\d{5}-\d{4}$") & (F.left(w, F.lit(5)) == F.col("found_zip"))), ",").otherwise(w)), " ")
     state = F.regexp_extract(t, rf"\b({STATE_CODES})\b(?!.*\b(?:{STATE_CODES})\b)", 1)
     df = df.select(
         "key", F.when(~absent(F.col("city")), town_text(F.col("city"))).alias("city"),
-        F.coalesce(F.when(~absent(F.col("state")), F.upper(F.trim("state"))), F.when(state != "", state)).alias("state"),
+        F.coalesce(F.when(~absent(F.col("state")), state_code(F.col("state"))), F.when(state != "", state)).alias("state"),
         F.coalesce(F.when(given != "", given), "found_zip").alias("zip"),
         F.nullif(F.regexp_extract(t, r"\bPOBOX (\d+)", 1), F.lit("")).alias("box"),
         F.trim(_each(rest, [(rf"\b(?:{STATE_CODES})\b(?= ?(?:,|$))|(?<=, )(?:{STATE_CODES})\b", ","), (r"POBOX \d+", ","), (r"\s+", " "), (r"(?: ?,)+", " ,"), (r"^[ ,]+|[ ,]+$", "")])).alias("t"),
@@ -137,28 +144,65 @@ def _with_towns(lines: DataFrame) -> DataFrame:
     zips = full.where("zip IS NOT NULL AND f IS NOT NULL").groupBy("zip", F.col("f.town").alias("t")).count()
     zips = zips.groupBy("zip").agg(F.max_by("t", F.struct("count", "t")).alias("zip_town"), (F.max("count") / F.sum("count")).alias("sure")).where("sure >= 0.6")
     full = full.join(zips.select("zip", "zip_town"), "zip", "left")
-    return full.select("key", "line", "city", "state", "zip", "box", F.coalesce("f.town", F.when(F.col("city").isNull(), F.col("zip_town")), "city").alias("town"), F.when(F.col("city").isNull(), F.col("f.raw")).alias("named"))
+    full = full.select("key", "line", "state", "zip", "box", F.coalesce("f.town", F.when(F.col("city").isNull(), F.col("zip_town")), "city").alias("town"), F.when(F.col("city").isNull(), F.col("f.raw")).alias("named"))
+    # a state that isn't stated is the only one that others state with the zip, or with the town
+    full = materialize(full, "placed")
+    for by in ("zip", "town"):
+        one = full.where(F.col(by).isNotNull() & F.col("state").isNotNull()).groupBy(by).agg(F.min("state").alias(f"{by}_state"), F.max("state").alias("_m")).where(F.col(f"{by}_state") == F.col("_m")).drop("_m")
+        full = full.join(one, by, "left")
+    return full.withColumn("state", F.coalesce("state", "zip_state", "town_state")).drop("zip_state", "town_state")
+
+
+#: What a place is told by; NULL state, direction and type agree with any.
+SIGNATURE = ["digits", "town", "state", "dir", "type", "words"]
 
 
 def signatures(addresses: DataFrame) -> DataFrame:
-    """(key, digits, dir, type, words, town): what decides whether two addresses denote the same place."""
-    rows = _with_towns(materialize(parsed_lines(addresses), "parsed"))
-    cut = F.when(F.col("named").isNotNull(), F.regexp_replace("line", F.concat(F.lit(r"(?<=[ ,]|^)"), F.col("named"), F.lit(r"(?=[ ,]|$)(?!.*(?<=[ ,])"), F.col("named"), F.lit(r"(?=[ ,]|$))")), ",")).otherwise(F.col("line"))
-    rows = rows.select("key", "town", "box", F.trim(F.regexp_replace(cut, r"\s+", " ")).alias("line"))
-    start = r"(?:^|[ ,])(\d+)(?:-?[A-Z])? ((?:\d+(?:ST|ND|RD|TH)|[A-Z])[^,]*)"
-    rows = rows.withColumn("num", F.nullif(F.regexp_extract("line", start, 1), F.lit(""))).withColumn("street", F.filter(F.split(F.regexp_extract("line", start, 2), " "), lambda w: ~w.isin("", "-") & ~w.isin(*STATE_CODES.split("|"))))
-    first, last = F.get("street", F.lit(0)), F.get("street", F.size("street") - 1)
-    heads, tails = first.isin(DIRECTIONS) & (F.size("street") > 1), last.isin(DIRECTIONS) & (F.size("street") > 1)
-    rows = rows.withColumn("dir", F.when(tails, last).when(heads, first))
-    rows = rows.withColumn("street", F.when(tails, F.slice("street", 1, F.size("street") - 1)).when(heads, F.slice("street", 2, F.size("street"))).otherwise(F.col("street")))
-    last = F.get("street", F.size("street") - 1)
-    typed = last.isin(STREET_TYPES) & (F.size("street") > 1)
-    rows = rows.withColumn("type", F.when(typed, last)).withColumn("name", F.when(typed, F.slice("street", 1, F.size("street") - 1)).otherwise(F.col("street")))
-    in_box = F.col("box").isNotNull()
-    digits = F.when(in_box, F.array(F.concat(F.lit("B"), F.col("box")))).otherwise(F.array_sort(F.concat(F.array(F.regexp_replace("num", "^0+(?=.)", "")), F.filter("name", lambda w: w.rlike("^[0-9]")))))
-    words = F.when(in_box, F.array().cast("array<string>")).otherwise(F.filter("name", lambda w: ~w.rlike("^[0-9]")))
-    out = rows.select("key", F.array_join(digits, " ").alias("digits"), F.when(~in_box, F.col("dir")).alias("dir"), F.when(~in_box, F.col("type")).alias("type"), words.alias("words"), "town")
-    return out.where("digits <> '' AND town IS NOT NULL AND (digits LIKE 'B%' OR size(words) > 0 OR digits LIKE '% %' OR type IS NOT NULL)")
+    """(key, digits, town, state, dir, type, words): what decides whether two addresses denote the same place."""
+    rows = _with_towns(materialize(parsed_lines(evenly(addresses)), "parsed"))
+    # the words that gave the town are cut out where they stand last
+    line, name = F.concat(F.lit(" "), "line", F.lit(" ")), F.concat(F.lit(" "), "named", F.lit(" "))
+    tail = F.call_function("substring_index", line, name, F.lit(-1))
+    head = F.left(line, F.length(line) - F.length(tail) - F.length(name))
+    cut = F.when(F.col("named").isNotNull() & F.contains(line, name), F.concat(head, F.lit(" , "), tail)).otherwise(F.col("line"))
+    rows = rows.select("key", "town", "state", "box", F.trim(F.regexp_replace(cut, r"\s+", " ")).alias("line"))
+    told = evenly(rows).mapInArrow(_told, "key string, digits string, town string, state string, dir string, type string, words array<string>")
+    return told.where("digits IS NOT NULL AND town IS NOT NULL")
+
+
+START = re.compile(r"(?:^|[ ,])([0-9]+)(?:-?[A-Z])? ((?:[0-9]+(?:ST|ND|RD|TH)|[A-Z])[^,]*)")
+
+
+def _street(line: str | None) -> tuple:
+    """(digits, dir, type, words) of an address line: its house number and the numbers in the street's name, then the rest of the name."""
+    m = START.search(line or "")
+    if not m:
+        return None, None, None, []
+    codes = STATE_CODES.split("|")
+    name = [w for w in m.group(2).split(" ") if w not in ("", "-") and w not in codes]
+    side = kind = None
+    if len(name) > 1 and name[-1] in DIRECTIONS:
+        side = name.pop()
+    elif len(name) > 1 and name[0] in DIRECTIONS:
+        side = name.pop(0)
+    if len(name) > 1 and name[-1] in STREET_TYPES:
+        kind = name.pop()
+    numbers = [w for w in name if w[0] in "0123456789"]
+    words = [w for w in name if w[0] not in "0123456789"]
+    if not (words or numbers or kind):
+        return None, None, None, []
+    return " ".join(sorted([m.group(1).lstrip("0") or "0", *numbers])), side, kind, words
+
+
+def _told(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        key, town, state, box, line = (b.column(i).to_pylist() for i in range(5))
+        found = [(f"B{x}", None, None, []) if x is not None else _street(t) for x, t in zip(box, line)]
+        digits, side, kind, words = (list(c) for c in zip(*found)) if found else ([], [], [], [])
+        columns = [pa.array(c, pa.string()) for c in (key, digits, town, state, side, kind)] + [pa.array(words, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, ["key", *SIGNATURE])
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -168,30 +212,73 @@ def _near(a: Column, b: Column) -> Column:
     return (far <= 1) | ((far <= 2) & (swapped | (F.least(F.length(a), F.length(b)) >= 7)))
 
 
-def same_places(addresses: DataFrame, *, accept: float = 0.8) -> DataFrame:
-    """(rec_a, rec_b): every pair of keys whose addresses denote the same place, rec_a the smaller.
+def _variants(w: Column) -> Column:
+    """The word and all that is left of it without one or two letters: two words at most two edits apart share one."""
+    return F.array_distinct(F.concat(_deletes(w), F.flatten(F.transform(_deletes(w), _deletes))))
 
-    `addresses` is (key, address, city, state, zip5); city, state and zip5 may be NULL where the address states them
-    itself. Rows without a key, an address, a number or a town (stated, or known from the zip) are in no pair; a key
-    that stands twice has each of its addresses. Records of one spelling meet once as a signature, so a hot address
-    costs only the pairs that it must yield.
+
+#: Distinct spellings of a number and town that are compared with one another; larger blocks are split by rare words.
+BLOCK = 200
+#: Records of a place that are paired in one task.
+MEMBERS = 1000
+
+
+def _aliases(places: DataFrame) -> DataFrame:
+    """(town, alias): every town with itself and with those of one edit's difference, six letters at least."""
+    names = materialize(places.select("town").distinct(), "towns")
+    keyed = names.where(F.length("town") >= 6).select("town", F.explode(_deletes(F.col("town"))).alias("d"))
+    near = keyed.join(keyed.select(F.col("town").alias("alias"), "d"), "d").where((F.col("town") < F.col("alias")) & (F.levenshtein("town", "alias") <= 1))
+    return names.select("town", F.col("town").alias("alias")).unionByName(near.select("town", "alias").distinct())
+
+
+def _blocks(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the comparison, each with its `block`.
+
+    A block is a number with a town. Where BLOCK spellings or more share one, it takes a word besides: one side asks by
+    its rarest words, as many as outweigh the share that may differ, the other answers by all, each word in all
+    spellings that slips can give it; so no accepted pair is missed, and the streets of a city don't all meet.
+    """
+    spread = places.join(_aliases(places), "town").withColumn("spot", F.concat_ws("|", "digits", "alias"))
+    many = spread.groupBy("spot").count().where(F.col("count") >= BLOCK).select("spot", F.lit(True).alias("many"))
+    spread = materialize(spread.join(many, "spot", "left"), "spots")
+    small = spread.where("many IS NULL").withColumn("block", F.col("spot"))
+    large = spread.where("many")
+    # from the rarest word on, until the others weigh less than what must be shared
+    by_weight = F.reverse(F.array_sort(F.transform("words", lambda w: F.struct(F.coalesce(F.try_element_at("rarity", w), F.lit(1.0)).alias("r"), w.alias("w")))))
+    total = F.aggregate("by_weight", F.lit(0.0), lambda t, x: t + x["r"])
+    before = lambda i: F.aggregate(F.slice("by_weight", F.lit(1), i), F.lit(0.0), lambda t, x: t + x["r"])
+    large = large.withColumn("by_weight", by_weight).withColumn("rare", F.transform(F.filter("by_weight", lambda x, i: before(i) <= (1 - ACCEPT) * total + 1e-9), lambda x: x["w"]))
+    whole = F.array(F.array_join("words", ""))
+
+    def keyed(words: Column) -> DataFrame:
+        return large.withColumn("block", F.explode(F.transform(F.array_distinct(F.flatten(F.transform(F.array_distinct(F.concat(words, whole)), _variants))), lambda v: F.concat_ws("|", "spot", v)))).drop("by_weight", "rare")
+
+    return small.unionByName(keyed(F.col("rare"))).drop("spot", "many"), small.unionByName(keyed(F.col("words"))).drop("spot", "many")
+
+
+#: Rarity-weighted share of the words that two addresses of a number and town have in common.
+ACCEPT = 0.8
+
+
+def place_pairs(addresses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): (key, place) of every record with an address, and (place_a, place_b) of the places that are the same.
+
+    A place is one spelling of an address; copies of an address are members of it and meet nobody, so a hot address
+    costs one row each. Words near one another by a slip count as shared.
     """
-    own = materialize(signatures(addresses.where("key IS NOT NULL")), "signatures")
-    sig = ["digits", "dir", "type", "words", "town"]
-    distinct = materialize(own.groupBy(*sig).agg(F.min("key").alias("rep"), F.count("*").alias("n")), "places")
+    own = materialize(signatures(addresses.where("key IS NOT NULL")).withColumn("place", F.xxhash64(*[F.coalesce(F.array_join(c, " ") if c == "words" else F.col(c), F.lit("\x00")) for c in SIGNATURE])), "signatures")
+    distinct = materialize(own.groupBy(*SIGNATURE, "place").agg(F.count("*").alias("n")), "places")
     # rarity of a word over all records
     total = max(1, own.count())
     rare = distinct.select("n", F.explode("words").alias("word")).groupBy("word").agg(F.log(1 + F.lit(float(total)) / F.sum("n")).alias("rarity"))
-    weighed = distinct.select(*sig, "rep", F.explode_outer("words").alias("word")).join(rare, "word", "left")
-    weighed = weighed.groupBy(*sig, "rep").agg(F.map_from_entries(F.collect_set(F.when(F.col("word").isNotNull(), F.struct("word", F.coalesce("rarity", F.lit(1.0)))))).alias("rarity"))
-    # numbers first: one key per rare word, the town among them, so a slip in one word leaves the other
-    keyed = weighed.withColumn("block", F.explode(F.array_distinct(F.concat(F.filter("words", lambda w: F.length(w) > 2), F.array(F.concat(F.lit("@"), F.col("town")))))))
-    keyed = materialize(keyed, "blocks")
-    a = keyed.select("digits", "block", *[F.col(c).alias(c + "_a") for c in ("dir", "type", "words", "town", "rep", "rarity")])
-    b = keyed.select("digits", "block", *[F.col(c).alias(c + "_b") for c in ("dir", "type", "words", "town", "rep", "rarity")])
+    weighed = distinct.select("place", F.explode("words").alias("word")).join(rare, "word").groupBy("place").agg(F.map_from_entries(F.collect_set(F.struct("word", "rarity"))).alias("rarity"))
+    places = distinct.drop("n").join(weighed, "place", "left").withColumn("rarity", F.coalesce("rarity", F.create_map().cast("map<string,double>")))
+    asks, answers = _blocks(places)
+    cols = ["place", "town", "state", "dir", "type", "words", "rarity"]
+    a = asks.select("block", *[F.col(c).alias(c + "_a") for c in cols])
+    b = answers.select("block", *[F.col(c).alias(c + "_b") for c in cols])
     agree = lambda c: F.col(f"{c}_a").isNull() | F.col(f"{c}_b").isNull() | (F.col(f"{c}_a") == F.col(f"{c}_b"))
-    pairs = a.join(b, ["digits", "block"]).where((F.struct("rep_a", "dir_a", "type_a", "words_a", "town_a") < F.struct("rep_b", "dir_b", "type_b", "words_b", "town_b")) & agree("dir") & agree("type"))
-    pairs = pairs.where((F.col("town_a") == F.col("town_b")) | ((F.length("town_a") >= 6) & (F.levenshtein("town_a", "town_b") <= 1)))
+    pairs = a.join(b, "block").where((F.col("place_a") != F.col("place_b")) & agree("dir") & agree("type") & agree("state"))
     shared = F.array_intersect("words_a", "words_b")
     left, right = F.array_except("words_a", "words_b"), F.array_except("words_b", "words_a")
     near = F.filter(left, lambda w: F.exists(right, lambda v: _near(w, v)))
@@ -200,21 +287,27 @@ def same_places(addresses: DataFrame, *, accept: float = 0.8) -> DataFrame:
     joined = _near(F.array_join("words_a", ""), F.array_join("words_b", "")) & (F.size("words_a") > 0) & (F.size("words_b") > 0)
     good = weight(shared, "a") + weight(near, "a")
     every = weight(F.col("words_a"), "a") + weight(lone, "b")
-    pairs = pairs.where((F.size("words_a") == 0) & (F.size("words_b") == 0) | joined | ((every > 0) & (good / every >= accept)))
-    ends = [*[F.col(c + "_a") for c in ("rep", "dir", "type", "words", "town")], *[F.col(c + "_b") for c in ("rep", "dir", "type", "words", "town")]]
-    pairs = pairs.select("digits", *ends).distinct()
-    # back to records
-    def members(side: str) -> DataFrame:
-        return own.select("digits", *[F.col(c).alias(f"{c}_{side}") for c in ("dir", "type", "words", "town")], F.col("key").alias(f"key_{side}"))
-
-    def on(side: str) -> list[Column]:
-        return [F.col("p.digits") == F.col("m.digits"), *[F.col(f"p.{c}_{side}").eqNullSafe(F.col(f"m.{c}_{side}")) for c in ("dir", "type", "words", "town")]]
-
-    one = pairs.alias("p").join(members("a").alias("m"), on("a")).select("p.*", "m.key_a")
-    both = one.alias("p").join(members("b").alias("m"), on("b")).select("p.key_a", "m.key_b")
-    packed = F.xxhash64(*[F.coalesce(F.array_join("words", " ") if c == "words" else F.col(c), F.lit("\x00")) for c in sig])
-    mates = own.select("key", "digits", packed.alias("h"), *[c for c in sig if c != "digits"])
-    m1, m2 = mates.alias("x"), mates.alias("y")
-    same = m1.join(m2, [F.col("x.digits") == F.col("y.digits"), F.col("x.h") == F.col("y.h"), F.col("x.key") < F.col("y.key"), F.col("x.words") == F.col("y.words"), F.col("x.town") == F.col("y.town"), F.col("x.dir").eqNullSafe(F.col("y.dir")), F.col("x.type").eqNullSafe(F.col("y.type"))]).select(F.col("x.key").alias("key_a"), F.col("y.key").alias("key_b"))
-    every_pair = both.unionByName(same).where("key_a <> key_b")
-    return every_pair.select(F.least("key_a", "key_b").alias("rec_a"), F.greatest("key_a", "key_b").alias("rec_b")).distinct()
+    pairs = pairs.where((F.size("words_a") == 0) & (F.size("words_b") == 0) | joined | ((every > 0) & (good / every >= ACCEPT)))
+    pairs = pairs.select(F.least("place_a", "place_b").alias("place_a"), F.greatest("place_a", "place_b").alias("place_b")).distinct()
+    return own.select("key", "place"), pairs
+
+
+def same_places(addresses: DataFrame) -> DataFrame:
+    """(rec_a, rec_b): every pair of keys whose addresses denote the same place, rec_a the smaller.
+
+    `addresses` is (key, address, city, state, zip5); city, state and zip5 may be NULL where the address states them
+    itself. Rows without a key, an address, a number or a town (stated, or known from the zip) are in no pair; a key
+    that stands twice has each of its addresses. Towns of one name in two states are two towns. The pairs of a place
+    with very many records are made by several tasks; place_pairs() gives places and members instead of all pairs.
+    """
+    own, pairs = place_pairs(addresses)
+    own = materialize(own.distinct(), "members")
+    pairs = materialize(pairs, "pairs")
+    links = pairs.unionByName(own.select(F.col("place").alias("place_a"), F.col("place").alias("place_b")).distinct())
+    parts = own.groupBy("place").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
+    a = own.join(parts, "place").select(F.col("place").alias("place_a"), F.col("key").alias("key_a"), "parts", F.pmod(F.xxhash64("key"), "parts").cast("int").alias("part"))
+    sized = links.join(parts.withColumnRenamed("place", "place_a"), "place_a").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    left = sized.join(a.drop("parts"), ["place_a", "part"])
+    both = left.join(own.select(F.col("place").alias("place_b"), F.col("key").alias("key_b")), "place_b")
+    both = both.where(F.when(F.col("place_a") == F.col("place_b"), F.col("key_a") < F.col("key_b")).otherwise(F.col("key_a") != F.col("key_b")))
+    return both.select(F.least("key_a", "key_b").alias("rec_a"), F.greatest("key_a", "key_b").alias("rec_b")).distinct()

@@ -1,4 +1,5 @@
-from cadastra.llm.addresses import same_places, signatures
+from cadastra.llm import addresses
+from cadastra.llm.addresses import place_pairs, same_places, signatures
 
 COLS = "key string, address string, city string, state string, zip5 string"
 TOWNS = [(f"t{i}", f"{900 + i} Filler{chr(65 + i)} Rd", c, "TX", z) for i, (c, z) in enumerate([("Lake Brodanburg", "75001"), ("Wumilfield", "75002"), ("Skerhaven", "75003")] * 4)]
@@ -36,3 +37,41 @@ def test_repeats_long_texts_and_empty_tables(spark):
     rows = [("a1", "5 Elm St", "Skerhaven", "TX", None), ("a1", "5 Elm St", "Skerhaven", "TX", None), ("a2", "5 Elm Street", "Skerhaven", "TX", None), ("x", "7 " + "Word " * 3000, "Skerhaven", "TX", None)]
     assert pairs(spark, rows) == {("a1", "a2")}
     assert same_places(spark.createDataFrame([], COLS)).count() == 0 and signatures(spark.createDataFrame([], COLS)).count() == 0
+
+
+def test_one_town_name_in_three_states(spark):
+    rows = [("a1", "5 Elm St", "Springdale", "TX", "75001"), ("a2", "5 Elm Street", "SPRINGDALE", "Texas", None), ("b1", "5 Elm St", "Springdale", "FL", "32601"), ("b2", "5 Elm St, Springdale, FL 32601", None, None, None), ("c1", "5 Elm St", "Springdale", "NC", None)]
+    assert pairs(spark, rows) == {("a1", "a2"), ("b1", "b2")}
+
+
+def letters(i):
+    return "".join(chr(65 + i // 26**k % 26) for k in range(4))
+
+
+def test_one_street_of_every_town_meets_nobody(spark):
+    n = 3000
+    rows = [(f"k{i}", "100 Main St", f"Qu{letters(i * 7919)}zho", "TX", None) for i in range(n)]
+    df = spark.createDataFrame(rows, COLS)
+    own, found = place_pairs(df)
+    assert own.count() == n
+    distinct = signatures(df).withColumn("rarity", addresses.F.create_map().cast("map<string,double>")).withColumn("place", addresses.F.xxhash64("key"))
+    a, b = addresses._blocks(distinct)
+    # towns an edit apart may meet; the number and the word alone never do
+    assert a.select("block").join(b.select("block"), "block").count() <= 30 * n
+
+
+def test_a_town_of_many_streets_is_split_by_rare_words_without_loss(spark, monkeypatch):
+    rows = [(f"k{i:03}", f"7 {letters(i * 7919)}ton {['Creek', 'Ridge'][i % 2]} Rd", "Skerhaven", "TX", None) for i in range(60)]
+    rows += [("s1", "7 Wellington Creek Rd", "Skerhaven", "TX", None), ("s2", "7 Welingtn Creek Rd", "Skerhaven", "TX", None), ("s3", "7 Wellingtno Creek", "Skerhaven", "TX", None), ("s4", "7 Live Oak Rd", "Skerhaven", "TX", None), ("s5", "7 Liveoka Rd", "Skerhaven", "TX", None)]
+    whole = pairs(spark, rows)
+    assert {("s1", "s2"), ("s1", "s3"), ("s4", "s5")} <= whole
+    monkeypatch.setattr(addresses, "BLOCK", 1)
+    monkeypatch.setattr(addresses, "MEMBERS", 1)
+    assert pairs(spark, rows) == whole
+
+
+def test_copies_of_one_address(spark):
+    rows = [(f"k{i:02}", "9 Oak Ln", "Skerhaven", "TX", None) for i in range(30)]
+    assert len(pairs(spark, rows)) == 30 * 29 // 2
+    own, found = place_pairs(spark.createDataFrame(rows, COLS))
+    assert own.select("place").distinct().count() == 1 and found.count() == 0
