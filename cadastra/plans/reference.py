@@ -121,7 +121,16 @@ def mailto_emails(spark, sf_dir):
 
 # --- pairs --------------------------------------------------------------------------------------------------------
 
-PAIRS = f"(SELECT a.natural_key AS key_a, b.natural_key AS key_b, {name('a.name_raw')} AS na, {name('b.name_raw')} AS nb, a.address_line_1 AS sa, b.address_line_1 AS sb, a.latitude AS la, b.latitude AS lb, a.longitude AS oa, b.longitude AS ob, a.phone_normalized AS pa, b.phone_normalized AS pb FROM {CMS} a JOIN (SELECT * FROM {SITES} WHERE source_id = 'nppes_practice_locations') b ON a.city = b.city AND a.zip5 = b.zip5 AND left(a.name_normalized, 4) = left(b.name_normalized, 4))"
+def _pairs_sql() -> str:
+    """Facilities and provider rows of each of the reference's three blocks, a pair of several blocks once."""
+    side = f"SELECT natural_key, {name('name_raw')} AS n, address_line_1 AS s, latitude AS la, longitude AS lo, phone_normalized AS p, coalesce(state, '') AS st, {ZIP.format(c='zip5')} AS z, left(coalesce(name_normalized, ''), 4) AS pre, {PHONE.format(c='phone_normalized')} AS ph, CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL AND NOT isnan(latitude) AND NOT isnan(longitude) THEN floor(latitude)::VARCHAR || ',' || floor(longitude)::VARCHAR END AS cell FROM "
+    blocks = ["a.st = b.st AND a.z = b.z AND a.pre = b.pre", "a.st = b.st AND a.ph = b.ph AND a.ph <> ''", "a.cell = b.cell"]
+    pick = "a.natural_key AS key_a, b.natural_key AS key_b, a.n AS na, b.n AS nb, a.s AS sa, b.s AS sb, a.la, b.la AS lb, a.lo AS oa, b.lo AS ob, a.p AS pa, b.p AS pb"
+    a, b = f"({side}{CMS})", f"({side}{SITES} WHERE source_id = 'nppes_practice_locations')"
+    return "(" + " UNION ".join(f"SELECT {pick} FROM {a} a JOIN {b} b ON {on}" for on in blocks) + ")"
+
+
+PAIRS = _pairs_sql()
 
 
 def pairs(spark, sf_dir):
@@ -397,10 +406,9 @@ def tombstone_survivor(spark, sf_dir):
     return gone.join(heirs, "name_normalized", "left").select("account_key", "survivor_key")
 
 
-EVENT_RECORDS = "(SELECT DISTINCT 'events' AS source_id, CAST(user_id AS VARCHAR) AS natural_key, sha256(props) AS payload_sha FROM events WHERE props IS NOT NULL AND event_id % {m} <> 0)"
-
-
-@query("source_record_upsert", f"SELECT coalesce(o.source_id, n.source_id) AS source_id, coalesce(o.natural_key, n.natural_key) AS natural_key, coalesce(o.payload_sha, n.payload_sha) AS payload_sha, CAST(CASE WHEN o.source_id IS NULL THEN 2 ELSE 1 END AS BIGINT) AS first_run, CAST(CASE WHEN n.source_id IS NULL THEN 1 ELSE 2 END AS BIGINT) AS last_run FROM {EVENT_RECORDS.format(m=3)} o FULL JOIN {EVENT_RECORDS.format(m=5)} n ON o.source_id = n.source_id AND o.natural_key = n.natural_key AND o.payload_sha = n.payload_sha")
+@query("source_record_upsert", """WITH m AS (SELECT make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2) AS middle FROM events WHERE props IS NOT NULL),
+  e AS (SELECT CAST(user_id AS VARCHAR) AS natural_key, sha256(props) AS payload_sha, coalesce(CAST(ts AS TIMESTAMP) < middle, FALSE) AS early FROM events, m WHERE props IS NOT NULL)
+  SELECT 'events' AS source_id, natural_key, payload_sha, CAST(CASE WHEN bool_or(early) THEN 1 ELSE 2 END AS BIGINT) AS first_run, CAST(CASE WHEN bool_or(NOT early) THEN 2 ELSE 1 END AS BIGINT) AS last_run FROM e GROUP BY 2, 3""")
 def source_record_upsert(spark, sf_dir):
     # two deliveries that together hold every row: the events up to the middle stamp, and those from it on or without one
     e = table(spark, sf_dir, "events").where("props IS NOT NULL").select("ts", F.lit("events").alias("source_id"), F.col("user_id").cast("string").alias("natural_key"), F.col("props").alias("payload"))
@@ -612,11 +620,11 @@ def certificate_fields(spark, sf_dir):
 
 
 ASSESSOR = f"""WITH l AS (SELECT natural_key AS key, state AS county, {name('address_line_1')} AS addr FROM {CMS} WHERE {present('address_line_1')}),
-  p AS (SELECT natural_key AS parcel, state AS county, {name('address_line_1')} AS p_addr, size_value AS acres FROM {SITES} WHERE source_id = 'nppes_practice_locations' AND {present('address_line_1')} AND state IN ('TX', 'FL', 'NC') AND {name('address_line_1')} <> ''),
+  p AS (SELECT natural_key AS parcel, state AS county, {name('address_line_1')} AS p_addr, size_value AS acres FROM {SITES} WHERE source_id = 'nppes_practice_locations' AND {present('address_line_1')} AND {name('address_line_1')} <> ''),
   near AS (SELECT key, parcel, acres, addr AS na, p_addr AS nb FROM l JOIN p ON l.county = p.county AND left(addr, 5) = left(p_addr, 5)),
   alone AS (SELECT key, parcel, acres, addr AS na, p_addr AS nb FROM l JOIN p ON l.county = p.county WHERE key NOT IN (SELECT key FROM near)),
   best AS (SELECT key, parcel, score FROM (SELECT key, parcel, {LEV} AS score FROM (SELECT * FROM near UNION ALL SELECT * FROM alone)) QUALIFY row_number() OVER (PARTITION BY key ORDER BY score DESC, parcel) = 1)
-  SELECT l.key, CASE WHEN score >= 0.7 THEN parcel END AS parcel, round(CASE WHEN score >= 0.7 THEN score END, 6) AS score, CASE WHEN l.county NOT IN (SELECT county FROM p) THEN 'bad_county' WHEN coalesce(score, 0) < 0.7 THEN 'no_match' ELSE 'found' END AS status FROM l LEFT JOIN best USING (key)"""
+  SELECT l.key, CASE WHEN score >= 0.7 THEN parcel END AS parcel, round(CASE WHEN score >= 0.7 THEN score END, 6) AS score, CASE WHEN NOT EXISTS (SELECT 1 FROM p WHERE p.county = l.county) THEN 'bad_county' WHEN coalesce(score, 0) < 0.7 THEN 'no_match' ELSE 'found' END AS status FROM l LEFT JOIN best USING (key)"""
 
 
 @query("assessor_best_match", ASSESSOR)
