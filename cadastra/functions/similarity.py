@@ -20,30 +20,33 @@ def name_similarity(a: Column, b: Column) -> Column:
 
 
 def _jaro_winkler(a: str, b: str) -> float:
+    """Jaro by the places of each letter in `b`: every letter of `a` takes the first free one within reach."""
     if not a or not b:
         return 0.0
     if a == b:
         return 1.0
     reach = max(max(len(a), len(b)) // 2 - 1, 0)
-    taken = [False] * len(b)
-    left = []
-    for i, ch in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == ch:
-                taken[j] = True
-                left.append(ch)
-                break
+    places: dict[str, list[int]] = {}
+    for j, letter in enumerate(b):
+        places.setdefault(letter, []).append(j)
+    taken, left = [], []
+    for i, letter in enumerate(a):
+        free = places.get(letter)
+        # places only fall behind as i grows, so what is out of reach on the left never comes back
+        while free and free[0] < i - reach:
+            free.pop(0)
+        if free and free[0] <= i + reach:
+            taken.append(free.pop(0))
+            left.append(letter)
     if not left:
         return 0.0
     m = len(left)
-    swaps = sum(x != y for x, y in zip(left, (ch for j, ch in enumerate(b) if taken[j]))) // 2
+    swaps = sum(letter != b[j] for letter, j in zip(left, sorted(taken))) // 2
     jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
     if jaro <= 0.7:
         return jaro
     prefix = 0
-    for x, y in zip(a[:4], b[:4]):
-        if x != y:
-            break
+    while prefix < min(4, len(a), len(b)) and a[prefix] == b[prefix]:
         prefix += 1
     return jaro + 0.1 * prefix * (1 - jaro)
 
@@ -64,10 +67,30 @@ def trigram_similarity(a: Column, b: Column) -> Column:
     """Shared character trigrams, with their counts, over the larger number of trigrams; 0 below three letters."""
     x, y = _grams(F.coalesce(a, F.lit(""))), _grams(F.coalesce(b, F.lit("")))
     count = lambda grams, g: F.size(F.filter(grams, lambda v: v == g))
-    shared = F.aggregate(F.array_distinct(F.array_intersect(x, y)), F.lit(0), lambda s, g: s + F.least(count(x, g), count(y, g)))
+    common = F.array_intersect(x, y)
+    # a trigram counts as often as both have it, which is once unless both repeat some
+    single = (F.size(F.array_distinct(x)) == F.size(x)) | (F.size(F.array_distinct(y)) == F.size(y))
+    shared = F.when(single, F.size(common)).otherwise(F.aggregate(common, F.lit(0), lambda s, g: s + F.least(count(x, g), count(y, g))))
     return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(shared / F.greatest(F.size(x), F.size(y)))
 
 
+def _shared_letters(a: Column, b: Column) -> Column:
+    """Letters of `a` that stand in `b`, at most as many as the shorter text has: no more can match."""
+    kept = lambda p, q: F.length(p) - F.length(F.call_function("translate", p, q, F.lit("")))
+    return F.least(kept(a, b), kept(b, a))
+
+
+def compound_bound(a: Column, b: Column) -> Column:
+    """What compound_name_similarity can't exceed: by their lengths, and by the letters and digits they have in common."""
+    x, y = F.length(a), F.length(b)
+    short, long = F.least(x, y), F.greatest(x, y)
+    shared = _shared_letters(a, b)
+    jaro = F.when(shared == 0, 0.0).otherwise((shared / x + shared / y + 1) / 3)
+    winkler = F.when(jaro <= 0.7, jaro).otherwise(jaro + 0.4 * (1 - jaro))
+    grams = F.greatest(short - 2, F.lit(0)) / F.greatest(long - 2, F.lit(1))
+    return F.when((x == 0) | (y == 0) | a.isNull() | b.isNull(), 0.0).when(a == b, 1.0).otherwise(0.6 * winkler + 0.4 * grams)
+
+
 def compound_name_similarity(a: Column, b: Column) -> Column:
     return 0.6 * jaro_winkler(a, b) + 0.4 * trigram_similarity(a, b)
 

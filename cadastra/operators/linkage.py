@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.functions.similarity import ScoreSpec, compound_name_similarity, known_score
+from cadastra.functions.similarity import ScoreSpec, compound_bound, compound_name_similarity, known_score
 from cadastra.functions.text import normalize_name, normalize_phone, normalize_zip
 from cadastra.runtime import absent, discard, materialize
 
@@ -50,8 +50,11 @@ def fuzzy_pairs(df: DataFrame, *, queue: float = 0.75, spec: ScoreSpec = ScoreSp
     cell = F.concat_ws(",", F.floor("latitude").cast("string"), F.floor("longitude").cast("string"))
     placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     phone = normalize_phone(F.col("phone"))
+    prefix = F.left(F.coalesce("name", F.lit("")), F.lit(4))
+    # two blank names score nothing, so by them alone no pair reaches what the other features add up to
+    named = (normalize_name(F.col("name")) != "") | F.lit(queue <= 1 - spec.name)
     base = [
-        F.concat_ws(":", F.lit("szn"), F.coalesce("state", F.lit("")), normalize_zip(F.col("zip5")), F.left(F.coalesce("name", F.lit("")), F.lit(4))),
+        F.when(named, F.concat_ws(":", F.lit("szn"), F.coalesce("state", F.lit("")), normalize_zip(F.col("zip5")), prefix)),
         F.when(phone != "", F.concat_ws(":", F.lit("sph"), F.coalesce("state", F.lit("")), phone)),
     ]
     y, x = F.floor(F.col("latitude") / step), F.floor(F.col("longitude") / wide)
@@ -62,19 +65,37 @@ def fuzzy_pairs(df: DataFrame, *, queue: float = 0.75, spec: ScoreSpec = ScoreSp
         own = [*base, fine(0, 0)]
     else:
         around = own = [*base, F.when(placed, F.concat(F.lit("geo:"), cell))]
-    cols = ["id", "name", "address", "phone", "latitude", "longitude", "size_value"]
-    keys = lambda c: F.explode(F.filter(F.array(*c), lambda k: k.isNotNull())).alias("block")
-    a = df.select(*[F.col(c).alias("a_" + c) for c in cols], cell.alias("a_cell"), keys(own))
-    b = df.select(*[F.col(c).alias("b_" + c) for c in cols], cell.alias("b_cell"), keys(around))
-    pairs = a.join(b, "block").where("a_id <> b_id")
-    pairs = pairs.where(~F.col("block").startswith("g") | (F.col("a_cell") == F.col("b_cell")))
-    known = known_score(spec)
-    able = pairs.where(known + spec.name + spec.address >= queue - 1e-9)
-    ordered = able.where("a_id < b_id").unionByName(able.where("a_id > b_id").select(*[F.col(("b_" if c[:2] == "a_" else "a_") + c[2:]).alias(c) if c[:2] in ("a_", "b_") else F.col(c) for c in able.columns]))
-    once = ordered.drop("block", "a_cell", "b_cell").dropDuplicates(["a_id", "b_id"])
-    name = compound_name_similarity(normalize_name(F.col("a_name")), normalize_name(F.col("b_name")))
-    street = compound_name_similarity(normalize_name(F.col("a_address")), normalize_name(F.col("b_address")))
-    return once.select("a_id", "b_id", (spec.name * name + spec.address * street + known_score(spec)).alias("score")).where(F.col("score") >= queue)
+    # normalized once a record, not once a pair
+    ready = df.select("id", normalize_name(F.col("name")).alias("name"), normalize_name(F.col("address")).alias("address"), normalize_phone(F.col("phone")).alias("phone"), "latitude", "longitude", "size_value", cell.alias("cell"), _blocks(own).alias("own"), _blocks(around).alias("around"))
+    ready = materialize(ready, "ready")
+    cols = ["id", "name", "address", "phone", "latitude", "longitude", "size_value", "cell"]
+    a = ready.select(*[F.col(c).alias("a_" + c) for c in cols], F.col("own").alias("a_keys"), F.explode("own").alias("block"))
+    b = ready.select(*[F.col(c).alias("b_" + c) for c in cols], F.col("around").alias("b_keys"), F.explode("around").alias("block"))
+    # a's own blocks meet b's blocks and their neighbours; that is the same whichever of the two is a, so one order does.
+    # A pair of several blocks is taken from the first they share.
+    pairs = a.join(b, "block").where((F.col("a_id") < F.col("b_id")) & (F.get(F.array_intersect("a_keys", "b_keys"), F.lit(0)) == F.col("block")))
+    whole_cell = F.exists(F.array_intersect("a_keys", "b_keys"), lambda k: ~F.startswith(k, F.lit("g"))) | (F.col("a_cell") == F.col("b_cell"))
+    pairs = pairs.where(whole_cell).drop("block", "a_keys", "b_keys", "a_cell", "b_cell")
+    pairs = pairs.withColumn("known", known_score(spec))
+    # what the strings could add at most: by their lengths, and by nothing at all where one is blank
+    name_most, street_most = compound_bound(F.col("a_name"), F.col("b_name")), compound_bound(F.col("a_address"), F.col("b_address"))
+    able = pairs.where(F.col("known") + spec.name * name_most + spec.address * street_most >= queue - 1e-9)
+    name = compound_name_similarity(F.col("a_name"), F.col("b_name"))
+    # the second string is compared only where the first left a chance
+    able = materialize(able.withColumn("named", spec.name * name).where(F.col("named") + F.col("known") + spec.address * street_most >= queue - 1e-9), "able")
+    street = compound_name_similarity(F.col("a_address"), F.col("b_address"))
+    return able.select("a_id", "b_id", (F.col("named") + spec.address * street + F.col("known")).alias("score")).where(F.col("score") >= queue)
+
+
+def _blocks(keys: list[Column]) -> Column:
+    return F.array_distinct(F.filter(F.array(*keys), lambda k: k.isNotNull()))
+
+
+def tier3(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, cluster_id): every row of (id, natural_key) named after the smallest natural key that `links` (a_id, b_id) join it to, a row alone after its own."""
+    joined = rows.join(components(links, "a_id", "b_id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = joined.groupBy("component").agg(F.concat(F.lit("t3:"), F.min("natural_key")).alias("cluster_id"))
+    return joined.join(least, "component").select("id", "cluster_id")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -255,14 +255,33 @@ def fuzzy(spark, sf_dir):
     return linkage.fuzzy_pairs(materialize(rows, "unmerged"))
 
 
-@query("tier3_review_band")
+def _tier3_sql() -> str:
+    """Pairs of unmerged rows that share one of the three blocks, with their score."""
+    finite = lambda c: f"CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) THEN {c} END AS {c}"
+    rows = f"SELECT {RECORD} AS id, name AS n, {name('address_line_1')} AS s, {PHONE.format(c='phone_normalized')} AS p, coalesce(state, '') AS st, {ZIP.format(c='zip5')} AS z, left(name, 4) AS pre, {finite('latitude')}, {finite('longitude')}, {finite('size_value')} FROM {TIERS} WHERE cluster_id LIKE 'src:%'"
+    blocks = ["a.st = b.st AND a.z = b.z AND a.pre = b.pre", "a.st = b.st AND a.p = b.p AND a.p <> ''", "floor(a.latitude) = floor(b.latitude) AND floor(a.longitude) = floor(b.longitude)"]
+    alike = lambda c: f"(SELECT 0.6 * ({JW}) + 0.4 * coalesce({TRI}, 0.0) FROM (SELECT a.{c} AS na, b.{c} AS nb))"
+    km = HAVERSINE.format(a="a", b="b")
+    larger = "greatest(a.size_value, b.size_value)"
+    score = f"""0.35 * {alike('n')} + 0.3 * {alike('s')} + (0.2 * coalesce(greatest(0.0, 1 - ({km}) / 0.5), 0.0) + 0.1 * CASE WHEN a.p <> '' AND a.p = b.p THEN 1.0 ELSE 0.0 END
+      + 0.05 * CASE WHEN a.size_value IS NULL OR b.size_value IS NULL OR {larger} = 0 THEN 0.0 WHEN abs(a.size_value - b.size_value) / {larger} < 0.2 THEN 1.0 ELSE 0.0 END)"""
+    pairs_ = " UNION ".join(f"SELECT a.id AS x, b.id AS y FROM r a JOIN r b ON a.id < b.id AND {on}" for on in blocks)
+    return f"WITH r AS MATERIALIZED ({rows}), q AS ({pairs_}) SELECT a.id AS a_id, b.id AS b_id, CAST({score} AS DOUBLE) AS score FROM q JOIN r a ON a.id = q.x JOIN r b ON b.id = q.y"
+
+
+_T3 = _tier3_sql()
+
+
+@query("tier3_review_band", f"SELECT a_id, b_id, round(score, 6) AS score FROM ({_T3}) WHERE score >= 0.75 AND score < 0.92")
 def tier3_review_band(spark, sf_dir):
     return fuzzy(spark, sf_dir).where("score < 0.92").select("a_id", "b_id", F.round("score", 6).alias("score"))
 
 
-@query("tier3_auto_clusters")
+@query("tier3_auto_clusters", f"""WITH RECURSIVE u AS MATERIALIZED (SELECT {RECORD} AS k, natural_key FROM {TIERS} WHERE cluster_id LIKE 'src:%'), l AS (SELECT a_id AS a, b_id AS b FROM ({_T3}) WHERE score >= 0.92), arc AS (SELECT a, b FROM l UNION SELECT b, a FROM l UNION SELECT k, k FROM u),
+  reach AS (SELECT a, b FROM arc UNION SELECT r.a, arc.b FROM reach r JOIN arc ON r.b = arc.a) SELECT a AS record_key, 't3:' || min(natural_key) AS cluster_id FROM reach JOIN u ON b = k GROUP BY a""")
 def tier3_auto_clusters(spark, sf_dir):
-    return linkage.components(fuzzy(spark, sf_dir).where("score >= 0.92"), "a_id", "b_id").select(F.col("id").alias("record_key"), F.concat(F.lit("t3:"), F.col("component")).alias("cluster_id"))
+    rows = tiers(spark, sf_dir).where(F.col("cluster_id").startswith("src:")).select(record_key().alias("id"), "natural_key")
+    return linkage.tier3(rows, fuzzy(spark, sf_dir).where("score >= 0.92")).withColumnRenamed("id", "record_key")
 
 
 @query("merge_all_survivors", f"""WITH t AS (SELECT *, CASE source_id WHEN 'cms_general' THEN 0 ELSE 1 END AS r FROM {TIERS}),
