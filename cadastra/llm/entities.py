@@ -16,8 +16,14 @@ from cadastra.llm.addresses import _near, signatures
 from cadastra.runtime import absent, materialize
 
 K1, B = 1.2, 0.3
-#: Share of a query's own score below which a record is never a candidate.
+#: Records taken for a query, the best by score.
+TOP = 8
+#: Share of a query's own score below which a record is none of them; 0 takes the best whatever their score.
 FLOOR = 0.4
+#: Records of a token that one task reads.
+POSTINGS = 5_000
+#: Share of its record's best score that a query's pair must have: another query that fits far better has the record's place.
+MUTUAL = 0.3
 #: Share of records above which a name word is too usual to be worth a token together with the town.
 USUAL_SHARE = 0.01
 #: Rows that the calibration is fitted on at most; they are taken by hash.
@@ -73,11 +79,13 @@ def _tokens(around: bool, usual: list[str]) -> Column:
     return F.array_distinct(F.filter(parts, lambda t: t.isNotNull()))
 
 
-def candidates(records: DataFrame, queries: DataFrame, *, floor: float = FLOOR) -> DataFrame:
-    """(query, record, score, own): every pair whose BM25 score reaches `floor` of the query's own score.
+def candidates(records: DataFrame, queries: DataFrame, *, k: int = TOP, floor: float = FLOOR) -> DataFrame:
+    """(query, record, score, own): the `k` records of highest BM25 score for every query, of those that reach `floor` of its own score.
 
     `records` and `queries` are attributes(). A query's tokens are read from the rarest on; reading stops when those left
-    can't add up to the floor, so no pair that reaches it is missed, and the longest postings are never read.
+    can't add up to the floor, so no record that reaches it is missed, and the longest postings are never read. The k-th
+    best of the partial scores is then a bound: a record whose partial score with all that is left stays below it can't be
+    among the k best, and goes before any attribute is fetched. `floor` 0 reads everything: the k best whatever their score.
     """
     # each of these words stands in over a hundredth of all names: a short list at any size
     everyone = records.count()
@@ -89,7 +97,8 @@ def candidates(records: DataFrame, queries: DataFrame, *, floor: float = FLOOR)
     n, avg = float(stats["n"]), float(stats["avg"])
     postings = docs.select("record", ((K1 + 1) / (1 + K1 * (1 - B + B * F.col("len") / avg))).alias("norm"), F.explode("tokens").alias("t"))
     idf = postings.groupBy("t").agg(F.count("*").alias("df"), F.max("norm").alias("top"))
-    idf = idf.select("t", "df", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("w"), "top")
+    idf = idf.select("t", "df", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("w"), "top", (F.floor(F.col("df") / POSTINGS) + 1).cast("int").alias("parts"))
+    idf = materialize(idf, "idf")
     asked = queries.select(F.col("key").alias("query"), F.explode(_tokens(True, usual)).alias("t"))
     asked = asked.join(idf, "t")
     # what a record could score at most, and the query's own score: its tokens at the usual length, the nine cells as one
@@ -99,13 +108,22 @@ def candidates(records: DataFrame, queries: DataFrame, *, floor: float = FLOOR)
     asked = asked.withColumn("after", F.sum(F.col("w") * F.col("top")).over(per.orderBy(F.desc("df"), "t").rowsBetween(Window.unboundedPreceding, 0)))
     asked = asked.withColumn("read", F.col("after") >= floor * F.col("own"))
     asked = materialize(asked.withColumn("rest", F.coalesce(F.max(F.when(~F.col("read"), F.col("after"))).over(per), F.lit(0.0))), "asked")
-    part = asked.where("read").join(postings, "t").groupBy("query", "record").agg(F.sum(F.col("w") * F.col("norm")).alias("part"), F.max("own").alias("own"), F.max("rest").alias("rest"))
-    able = materialize(part.where(F.col("part") + F.col("rest") >= floor * F.col("own")).select("query", "record", "own"), "able")
+    # a long posting list is spread over parts, so that the queries of a usual token meet it in several tasks
+    spread = postings.join(idf.where("parts > 1").select("t", "parts"), "t", "left").withColumn("part_no", F.pmod(F.xxhash64("record"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    read = asked.where("read").withColumn("part_no", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    part = read.join(spread, ["t", "part_no"]).groupBy("query", "record").agg(F.sum(F.col("w") * F.col("norm")).alias("part"), F.max("own").alias("own"), F.max("rest").alias("rest"))
+    part = materialize(part.where(F.col("part") + F.col("rest") >= floor * F.col("own")), "partial")
+    best = Window.partitionBy("query").orderBy(F.desc("part"), "record")
+    bound = part.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).groupBy("query").agg(F.min("part").alias("bound"), F.count("*").alias("_k"))
+    able = part.join(bound, "query").where((F.col("_k") < k) | (F.col("part") + F.col("rest") >= F.col("bound"))).select("query", "record", "own")
+    able = materialize(able, "able")
     weights = asked.groupBy("query").agg(F.map_from_entries(F.collect_list(F.struct("t", "w"))).alias("weights"))
     full = able.join(weights, "query").join(docs, "record")
     hit = F.filter("tokens", lambda t: F.map_contains_key("weights", t))
     score = F.aggregate(hit, F.lit(0.0), lambda s, t: s + F.try_element_at("weights", t)) * ((K1 + 1) / (1 + K1 * (1 - B + B * F.col("len") / avg)))
-    return full.select("query", "record", score.alias("score"), "own").where(F.col("score") >= floor * F.col("own"))
+    scored = full.select("query", "record", score.alias("score"), "own").where(F.col("score") >= floor * F.col("own"))
+    first = Window.partitionBy("query").orderBy(F.desc("score"), "record")
+    return scored.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k).drop("_n")
 
 
 def _alike(w: Column, v: Column) -> Column:
@@ -170,7 +188,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30) ->
     return w
 
 
-def matched_entities(records: DataFrame, queries: DataFrame, *, accept: float = 0.5, training_rows: int = TRAINING_ROWS) -> DataFrame:
+def matched_entities(records: DataFrame, queries: DataFrame, *, accept: float = 0.5, k: int = TOP, floor: float = FLOOR, mutual: float = MUTUAL, training_rows: int = TRAINING_ROWS) -> DataFrame:
     """(query, record, confidence): for each query at most one record that is the same entity.
 
     Both tables are (key, name_raw, name_normalized, address, city, state, zip5, phone_raw, phone_normalized, latitude,
@@ -185,7 +203,7 @@ def matched_entities(records: DataFrame, queries: DataFrame, *, accept: float =
     """
     r = materialize(attributes(records.where("key IS NOT NULL")), "records")
     q = materialize(attributes(queries.where("key IS NOT NULL")), "queries")
-    found = candidates(r, q)
+    found = candidates(r, q, k=k, floor=floor)
     everyone = r.select("key", "name", "town").unionByName(q.select("key", "name", "town"))
     total = float(max(1, everyone.count()))
     # a town's name in a facility's name tells towns apart, not facilities, so it has no weight of its own
@@ -205,5 +223,6 @@ def matched_entities(records: DataFrame, queries: DataFrame, *, accept: float =
     for name, weight in zip(FEATURES, w[1:]):
         z = z + F.col(name) * float(weight)
     scored = pairs.withColumn("confidence", 1 / (1 + F.exp(-z)))
-    best = scored.groupBy("query").agg(F.max_by(F.struct("record", "confidence"), F.struct("confidence", "score", -F.col("place_q"))).alias("b"))
-    return best.select("query", "b.*").where(F.col("confidence") >= accept)
+    best = scored.groupBy("query").agg(F.max_by(F.struct("record", "confidence", "mutual"), F.struct("confidence", "score", -F.col("place_q"))).alias("b"))
+    # nearest to one another: the record is the query's best, and the query near the best of the record, which may have several
+    return best.select("query", "b.*").where((F.col("confidence") >= accept) & (F.col("mutual") >= mutual)).drop("mutual")
