@@ -14,6 +14,7 @@ def main() -> None:
     run.add_argument("--write", action="store_true")
     a = p.parse_args()
     from cadastra.plans import catalogue
+    from cadastra.runtime import forget
 
     queries = catalogue.queries()
     if a.verb == "list":
@@ -25,12 +26,14 @@ def main() -> None:
         p.error("--write needs --out")
     from pyspark.sql import SparkSession
 
-    df = queries[a.name](SparkSession.builder.appName("cadastra").getOrCreate(), a.data)
+    spark = SparkSession.builder.appName("cadastra").getOrCreate()
+    df = queries[a.name](spark, a.data)
     if a.write:
         df.write.mode("overwrite").parquet(a.out)
     else:
         df.printSchema()
         print(df.count(), "rows; nothing written")
+    forget(spark)
 
 
 if __name__ == "__main__":

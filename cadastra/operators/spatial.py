@@ -24,13 +24,15 @@ def near_pairs(points: DataFrame, radius_km: float, *, key: str = "key", lat: st
     """(key_a, key_b, distance_km): every pair of points at most `radius_km` apart, key_a the smaller.
 
     Points without a usable coordinate or key are in no pair; a key that stands twice is paired
-    once; a pair of equal keys is none. Empty input gives an empty result. Cells of more than
+    once, by its smallest latitude, then longitude; a pair of equal keys is none. Empty input gives an empty result. Cells of more than
     `hot_points` points are split on one side and repeated on the other, so that no task holds a
-    whole cell. Longitudes don't wrap at 180 degrees.
+    whole cell. Points on both sides of 180 degrees meet: those near it on the west side stand once more beyond -180.
     """
     step = radius_km / KM_PER_DEGREE * 1.000001
     at = points.select(F.col(key).alias("k"), F.col(lat).cast("double").alias("y"), F.col(lon).cast("double").alias("x"))
-    at = at.where(F.col("k").isNotNull() & usable(F.col("y"), F.col("x"))).dropDuplicates(["k"])
+    at = at.where(F.col("k").isNotNull() & usable(F.col("y"), F.col("x"))).groupBy("k").agg(F.min(F.struct("y", "x")).alias("p")).select("k", "p.y", "p.x")
+    near_pole = F.lit(step) / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("y")) + step, F.lit(89.9)))), F.lit(1e-6))
+    at = at.withColumn("x", F.explode(F.when(F.col("x") + near_pole >= 180, F.array(F.col("x"), F.col("x") - 360)).otherwise(F.array("x"))))
     at = at.withColumn("cy", F.floor(F.col("y") / step))
     at = at.withColumn("cx", F.floor(F.col("x") / _lon_width(F.col("cy"), step)))
 
@@ -49,7 +51,7 @@ def near_pairs(points: DataFrame, radius_km: float, *, key: str = "key", lat: st
 
     same_cell = (F.col("own_y") == F.col("cy")) & (F.col("own_x") == F.col("cx"))
     near = there.join(here, ["cy", "cx", "block"]).where((~same_cell & (F.col("k") != F.col("k2"))) | (F.col("k") < F.col("k2")))
-    near = near.where(F.abs(F.col("y") - F.col("y2")) <= step)
+    near = near.where((F.abs(F.col("y") - F.col("y2")) <= step) & ((F.col("x") >= -180) | (F.col("x2") >= -180)))
     return near.select(
         F.least("k", "k2").alias("key_a"), F.greatest("k", "k2").alias("key_b"),
         haversine_km(F.col("y"), F.col("x"), F.col("y2"), F.col("x2")).alias("distance_km"),

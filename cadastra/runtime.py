@@ -40,16 +40,33 @@ def materialize(df: DataFrame, tag: str = "step") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cadastra_path = path
+    _MADE.append(path)
     return out
 
 
+_MADE: list[str] = []
+
+
+def forget(spark: SparkSession) -> int:
+    """Delete every folder that materialize() made and nobody discarded, once the results that read them are written."""
+    n = len(_MADE)
+    while _MADE:
+        _delete(spark, _MADE.pop())
+    return n
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a frame made by materialize(); nothing may read it afterwards."""
     path = getattr(df, "_cadastra_path", None)
     if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(df.sparkSession, path)
+        if path in _MADE:
+            _MADE.remove(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -49,3 +49,9 @@ def test_esri_rings():
     hole = [[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]
     assert len(esri_to_geojson([shell, hole])["coordinates"]) == 2
     assert esri_to_geojson([hole]) is None
+
+
+def test_pairs_across_180_degrees_once(spark):
+    rows = [("a", 0.0, 179.9999), ("b", 0.0, -179.9999), ("c", 0.0003, -179.9998), ("d", -0.0002, 179.9998), ("e", 0.0, 179.0), ("a", 0.5, 0.0)]
+    got = [(r.key_a, r.key_b) for r in near_pairs(spark.createDataFrame(rows, "key string, lat double, lon double"), 0.1).collect()]
+    assert sorted(got) == [("a", "b"), ("a", "c"), ("a", "d"), ("b", "c"), ("b", "d"), ("c", "d")]
