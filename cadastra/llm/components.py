@@ -66,5 +66,7 @@ def connected_groups(links: DataFrame, a: str = "a", b: str = "b", *, rate: floa
         whole = step.join(later, "center", "left").select("v", F.coalesce("top", "center").alias("center"))
     named = names.join(whole, "v", "left").select("name", F.coalesce("center", "v").alias("center"))
     named = materialize(named, "composed")
+    for done in (*steps, edges, names):
+        discard(done)
     smallest = named.groupBy("center").agg(F.min("name").alias("group"))
     return named.join(smallest, "center").select(F.col("name").alias("vertex"), "group")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -71,6 +72,7 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
 
 
 ITEM = "container_kind string, capacity long, doc_id long, piece_no long, token_start long, n_tokens long"
+PACKED = ITEM + ", part int, container_id string, reopen boolean, bound long"
 
 
 def _packer(r: int, last: bool):
@@ -89,13 +91,19 @@ def _packer(r: int, last: bool):
             reopen[np.argsort(fill, kind="stable")[: max(8 * (used - bound), used // 10, 2)]] = True
         frame["container_id"] = [f"{r}-{key[1]}-{b}" for b in bins]
         frame["reopen"] = reopen[bins]
-        return frame.drop(columns=["part"])
+        frame["bound"] = bound
+        return frame
 
     return pack
 
 
-def packed(sizes: DataFrame, spec: DataFrame, *, partition_items: int = PARTITION_ITEMS, rounds: int = 4) -> DataFrame:
-    """Containers of every kind of `spec` (container_kind, capacity_tokens) filled with the items of `sizes` (doc_id, n_tokens).
+def packed(sizes: DataFrame, spec: DataFrame, **options) -> DataFrame:
+    """The containers of packing(), see there."""
+    return packing(sizes, spec, **options)[0]
+
+
+def packing(sizes: DataFrame, spec: DataFrame, *, partition_items: int = PARTITION_ITEMS, rounds: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(containers, certificate). Containers of every kind of `spec` (container_kind, capacity_tokens) filled with the items of `sizes` (doc_id, n_tokens).
 
     Returns (container_kind, container_id, doc_id, piece_no, token_start, n_tokens): one row per item and kind, or
     one per piece of an item above the capacity, which alone is divided: into full containers and one rest. Items
@@ -106,12 +114,16 @@ def packed(sizes: DataFrame, spec: DataFrame, *, partition_items: int = PARTITIO
     best-fit decreasing and its bins are counted against a lower bound; where bound and count agree it is done. The
     emptiest bins of the others are opened again, their items dealt anew over fewer partitions, and packed again, for
     `rounds` rounds; the other bins are never touched again.
+
+    The certificate is (container_kind, round, part, items, bins, bound, reopened): for every partition of every round the
+    bins it used, the least number that any packing of its items needs, and the bins that it gave on to the next round.
+    Round -1 holds the full containers, which are their own bound. A partition with bins = bound is packed optimally.
     """
     kinds = spec.where("capacity_tokens > 0 AND container_kind IS NOT NULL").groupBy("container_kind").agg(F.max("capacity_tokens").cast("long").alias("capacity"))
     n = F.greatest(F.coalesce(F.col("n_tokens"), F.lit(0)), F.lit(0)).cast("long")
     items = sizes.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n"))
-    # each item goes to each kind: the kinds travel with the items as one list, no join of all with all
-    spread = items.withColumn("_one", F.lit(1)).join(kinds.groupBy(F.lit(1).alias("_one")).agg(F.collect_list(F.struct("container_kind", "capacity")).alias("_kinds")), "_one").select("doc_id", "n", F.inline("_kinds"))
+    # each item goes to each kind: the kinds are one value, a list
+    spread = items.withColumn("_kinds", kinds.agg(F.collect_list(F.struct("container_kind", "capacity"))).scalar()).select("doc_id", "n", F.inline("_kinds"))
     full = F.floor(F.col("n") / F.col("capacity"))
     rest = F.col("n") - full * F.col("capacity")
     pieces = F.sequence(F.lit(0).cast("long"), F.when((rest > 0) | (full == 0), full).otherwise(full - 1))
@@ -123,18 +135,19 @@ def packed(sizes: DataFrame, spec: DataFrame, *, partition_items: int = PARTITIO
     whole = item.where("n_tokens = capacity").withColumn("container_id", F.concat_ws("-", F.lit("full"), "doc_id", "piece_no"))
     open_items = item.where("n_tokens < capacity")
     done = [whole.drop("capacity")]
+    proofs = [whole.groupBy("container_kind").agg(F.count("*").alias("items")).select("container_kind", F.lit(-1).alias("round"), F.lit(0).alias("part"), "items", F.col("items").alias("bins"), F.col("items").alias("bound"), F.lit(0).cast("long").alias("reopened"))]
     for r in range(rounds):
         # one row per kind: how many partitions its items need
         counts = open_items.groupBy("container_kind").agg(F.ceil(F.count("*") / partition_items).cast("int").alias("parts"))
         dealt = open_items.join(counts, "container_kind").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece_no", F.lit(r)), F.col("parts")).cast("int")).drop("parts")
         last = r == rounds - 1
 
-        out = materialize(dealt.groupBy("container_kind", "part").applyInPandas(_packer(r, last), ITEM + ", container_id string, reopen boolean"), "packed")
-        done.append(out.where("NOT reopen").drop("capacity", "reopen"))
-        open_items = out.where("reopen").drop("container_id", "reopen")
+        out = materialize(dealt.groupBy("container_kind", "part").applyInPandas(_packer(r, last), PACKED), "packed")
+        bins = out.groupBy("container_kind", "part", "container_id").agg(F.count("*").alias("n"), F.max("bound").alias("bound"), F.max("reopen").alias("reopen"))
+        proofs.append(bins.groupBy("container_kind", "part").agg(F.sum("n").alias("items"), F.count("*").alias("bins"), F.max("bound").alias("bound"), F.count_if("reopen").alias("reopened")).select("container_kind", F.lit(r).alias("round"), "part", "items", "bins", "bound", "reopened"))
+        done.append(out.where("NOT reopen").drop("capacity", "reopen", "part", "bound"))
+        open_items = out.where("reopen").drop("container_id", "reopen", "part", "bound")
         if last or open_items.isEmpty():
             break
-    result = done[0]
-    for d in done[1:]:
-        result = result.unionByName(d)
-    return result.select("container_kind", "container_id", "doc_id", "piece_no", "token_start", "n_tokens")
+    columns = ["container_kind", "container_id", "doc_id", "piece_no", "token_start", "n_tokens"]
+    return reduce(DataFrame.unionByName, done).select(*columns), reduce(DataFrame.unionByName, proofs)

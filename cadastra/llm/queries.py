@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.llm.addresses import same_places
 from cadastra.llm.components import connected_groups
 from cadastra.llm.entities import matched_entities
-from cadastra.llm.packing import packed
+from cadastra.llm.packing import packed, packing
 from cadastra.llm.stuffing import stuffed_pages
 from cadastra.llm.survivors import fused_values, surviving_records, usable_acres, usable_phone
 from cadastra.llm.tokens import token_counts, token_ids
@@ -77,12 +77,13 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fused values per group and field: acreages to one decimal, phones as their last ten digits."""
+    """Fused values per group and field: acreages to one decimal, phones as their last ten digits. Trust ranks are the prior accuracies."""
     rows = park_members(spark, sf_dir)
     value = {"acres_published": F.round("acres_published", 1).cast("string"), "maintained_acres": F.round("maintained_acres", 1).cast("string"), "phone": F.right(F.regexp_replace("phone", "[^0-9]", ""), F.lit(10))}
     told = F.array(*[F.struct(F.lit(n).alias("field"), F.when(test(F.col(n)), value[n]).alias("value")) for n, test in P7_FIELDS.items()])
     claims = rows.select(F.col("cluster_id").alias("grp"), F.col("source_id").alias("source"), F.inline(told))
-    out = fused_values(claims)
+    ranks = table(spark, sf_dir, "source_rank").groupBy(F.col("source_id").alias("source")).agg(F.min("trust_rank").alias("rank"))
+    out = fused_values(claims, priors=ranks.select("source", F.greatest(F.lit(0.55), 0.95 - 0.05 * F.col("rank")).alias("accuracy")))
     return out.select(F.col("grp").alias("cluster_id"), F.col("field").alias("field_name"), "value", F.round("probability", 6).alias("probability"))
 
 
@@ -94,12 +95,17 @@ def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(token_counts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "container_spec"))
 
 
+def p9_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins and lower bound of every partition and round of the packing."""
+    return packing(token_counts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "container_spec"))[1]
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stuffed_pages(table(spark, sf_dir, "documents")).select(F.col("doc").alias("doc_id"))
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p10_found": p10_found}
+    return {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p7_found": p7_found, "p7_fused": p7_fused, "p8_ids": p8_ids, "p9_packed": p9_packed, "p9_certificate": p9_certificate, "p10_found": p10_found}
 
 
 _P4 = """

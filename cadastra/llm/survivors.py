@@ -40,7 +40,7 @@ def _score(c: Column) -> Column:
     return F.log(c / (1 - c))
 
 
-def fused_values(claims: DataFrame, *, rounds: int = 3, prior_accuracy: float = 0.8, false_values: int = 10, copy_prior: float = 0.1, copy_rate: float = 0.8) -> DataFrame:
+def fused_values(claims: DataFrame, *, priors: DataFrame | None = None, rounds: int = 20, tolerance: float = 0.001, prior_accuracy: float = 0.8, false_values: int = 10, copy_prior: float = 0.1, copy_rate: float = 0.8) -> DataFrame:
     """Bayesian fusion with copy detection.
 
     `claims` is (grp, field, source, value): what each source says of each field of a group; a source saying
@@ -51,13 +51,17 @@ def fused_values(claims: DataFrame, *, rounds: int = 3, prior_accuracy: float =
     that it copied that value from another; turns scores into probabilities; takes a source's accuracy as the mean
     probability of its claims; and finds dependence between two sources from how often they agree on values held
     false, agree on values held true, and differ. Only source-level tables (sources, pairs of sources) travel to
-    every task, each behind a check of its size. NULL groups, fields, sources and values are no claims.
+    every task, each behind a check of its size. It stops when no source's accuracy moves by `tolerance`, after `rounds`
+    rounds at most. `priors` (source, accuracy) are the accuracies to start from; a source without one starts at
+    `prior_accuracy`. NULL groups, fields, sources and values are no claims.
     """
     for c in ("grp", "field", "source", "value"):
         claims = claims.where(F.col(c).isNotNull())
     # one row per item and value with its sources: repeats are gone before anything is joined
     votes = materialize(claims.groupBy("grp", "field", "value").agg(F.array_sort(F.collect_set("source")).alias("sources")), "votes")
-    accuracy = votes.select(F.explode("sources").alias("source")).distinct().withColumn("accuracy", F.lit(prior_accuracy))
+    accuracy = votes.select(F.explode("sources").alias("source")).distinct()
+    accuracy = accuracy.withColumn("accuracy", F.lit(prior_accuracy)) if priors is None else accuracy.join(broadcast_if_small(priors.groupBy("source").agg(F.max("accuracy").alias("accuracy"))), "source", "left").withColumn("accuracy", F.coalesce("accuracy", F.lit(prior_accuracy)))
+    accuracy = materialize(accuracy, "accuracy")
     dependence = None
     for _ in range(rounds):
         each = votes.select("grp", "field", "value", "sources", F.explode("sources").alias("source"))
@@ -78,8 +82,12 @@ def fused_values(claims: DataFrame, *, rounds: int = 3, prior_accuracy: float =
         total = above.groupBy("grp", "field").agg((F.sum("mass") + F.first(unsaid)).alias("total"))
         found = materialize(above.join(total, ["grp", "field"]).select("grp", "field", "value", "sources", (F.col("mass") / F.col("total")).alias("probability")), "fusion")
         said = found.select(F.explode("sources").alias("source"), "probability")
+        before = accuracy.withColumnRenamed("accuracy", "_was")
         accuracy = materialize(said.groupBy("source").agg(F.least(F.lit(0.95), F.greatest(F.lit(0.05), F.avg("probability"))).alias("accuracy")), "accuracy")
+        moved = accuracy.join(before, "source").agg(F.max(F.abs(F.col("accuracy") - F.col("_was")))).first()[0]
         dependence = materialize(_dependence(found, accuracy, false_values, copy_prior, copy_rate), "dependence")
+        if moved is None or moved < tolerance:
+            break
     order = F.struct(-F.col("probability"), F.col("value"))
     return found.groupBy("grp", "field").agg(F.min_by(F.struct("value", "probability", "sources"), order).alias("best")).select("grp", "field", "best.*")
 

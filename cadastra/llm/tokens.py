@@ -15,9 +15,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Texts are cut at the first certain cut after each so many bytes.
-FRAGMENT_BYTES = 8192
 ROWS_AT_ONCE = 256
+#: Fragments whose ids a task remembers; then it starts anew.
+REMEMBERED = 200_000
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
@@ -60,31 +60,35 @@ def certain_cuts(path: str):
     return cut
 
 
-def fragments(text: str, path: str, size: int = FRAGMENT_BYTES) -> list[str]:
-    """`text` cut at the first certain cut after each `size` bytes; joined they are the text."""
-    raw = text.encode("utf-8", "replace")
-    if len(raw) <= size:
-        return [text]
+def fragments(text: str, path: str) -> list[bytes]:
+    """`text` in UTF-8, cut at every certain cut; joined they are the text."""
     import numpy as np
 
+    raw = text.encode("utf-8", "replace")
     b = np.frombuffer(raw, dtype=np.uint8)
-    places = np.flatnonzero(certain_cuts(path)[b[:-1], b[1:]]) + 1
-    out, start = [], 0
-    while start < len(raw):
-        i = int(np.searchsorted(places, start + size))
-        end = int(places[i]) if i < len(places) else len(raw)
-        out.append(raw[start:end].decode("utf-8"))
-        start = end
-    return out
+    places = (np.flatnonzero(certain_cuts(path)[b[:-1], b[1:]]) + 1).tolist()
+    return [raw[i:j] for i, j in zip([0, *places], [*places, len(raw)]) if j > i]
+
 
+_KNOWN: dict[tuple[str, bytes], list[int]] = {}
 
-def encode(text: str | None, path: str, size: int = FRAGMENT_BYTES) -> list[int]:
-    """Ids of a text without special tokens; [] for NULL and empty ones."""
+
+def encode(text: str | None, path: str) -> list[int]:
+    """Ids of a text without special tokens; [] for NULL and empty ones.
+
+    Every fragment is encoded by itself, and the ids are concatenated; most fragments recur and are remembered.
+    """
     if not text:
         return []
-    e = _encoder(path)
-    parts = fragments(text, path, size)
-    return e.encode_ordinary(parts[0]) if len(parts) == 1 else [i for part in parts for i in e.encode_ordinary(part)]
+    out: list[int] = []
+    for part in fragments(text, path):
+        ids = _KNOWN.get((path, part))
+        if ids is None:
+            if len(_KNOWN) >= REMEMBERED:
+                _KNOWN.clear()
+            ids = _KNOWN[path, part] = _encoder(path).encode_ordinary(part.decode("utf-8"))
+        out += ids
+    return out
 
 
 def _map(df: DataFrame, schema: str, work) -> DataFrame:
@@ -101,7 +105,7 @@ def _map(df: DataFrame, schema: str, work) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def token_ids(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", path: str | None = None, fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
+def token_ids(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id long, ids array<int>), one row per document; [] for NULL and empty texts.
 
     One pass without a shuffle: fragments keep the encoder's work in proportion to the length, so even a very long
@@ -112,19 +116,19 @@ def token_ids(documents: DataFrame, *, doc: str = "doc_id", text: str = "text",
     rows = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def ids(pa, part):
-        found = [encode(t, path, fragment_bytes) for t in part.column(1).to_pylist()]
+        found = [encode(t, path) for t in part.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _map(rows, "doc_id long, ids array<int>", ids)
 
 
-def token_counts(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", path: str | None = None, fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
+def token_counts(documents: DataFrame, *, doc: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id long, n_tokens long), one row per document; 0 for NULL and empty texts."""
     path = path or default_path()
     rows = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def count(pa, part):
-        found = [len(encode(t, path, fragment_bytes)) for t in part.column(1).to_pylist()]
+        found = [len(encode(t, path)) for t in part.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["doc_id", "n_tokens"])
 
     return _map(rows, "doc_id long, n_tokens long", count)
