@@ -33,6 +33,34 @@ def apply_diff(resolved: DataFrame, core: DataFrame, actions: DataFrame, key: st
     return kept.unionByName(new).unionByName(marked)
 
 
+def contact_actions(resolved: DataFrame, core: DataFrame, accounts: DataFrame, hashed: Sequence[str], key: str = "contact_key") -> DataFrame:
+    """(key, action): insert only where the account is served, update where the content differs, retire the current ones that are gone."""
+    known = resolved.join(accounts.select("account_key").distinct(), "account_key", "left_semi")
+    old = core.select(key).distinct()
+    new = known.join(old, key, "left_anti").select(key, F.lit("insert").alias("action"))
+    # an update needs no account, the row is served already
+    both = diff_actions(resolved.join(old, key, "left_semi"), core, key, hashed, gone="retire", gone_filter=F.col("is_current"))
+    return new.unionByName(both)
+
+
+def stale_locations(resolved: DataFrame, core: DataFrame, accounts: DataFrame, gone_value: str = "merged") -> DataFrame:
+    """(location_key) of served locations that are gone and whose account is tombstoned; others only grow old."""
+    gone = core.where("location_key IS NOT NULL").join(resolved.select("location_key").distinct(), "location_key", "left_anti")
+    return gone.join(accounts.where(F.col("status") == gone_value).select("account_key").distinct(), "account_key", "left_semi").select("location_key")
+
+
+def updated_status(resolved: DataFrame, core: DataFrame, key: str = "account_key", gone_value: str = "merged") -> DataFrame:
+    """(key, status) after an update: a tombstoned row is never resurrected."""
+    j = resolved.select(key, F.col("status").alias("_new")).join(core.select(key, F.col("status").alias("_old")), key)
+    return j.select(key, F.when(F.col("_old") == gone_value, F.lit(gone_value)).otherwise(F.col("_new")).alias("status"))
+
+
+def with_parent(df: DataFrame, core: DataFrame, key: str = "account_key", parent: str = "parent_account_key") -> DataFrame:
+    """(key, parent, known): each row's parent and whether the parent is served; the survivor of a tombstone is its parent."""
+    served = core.select(F.col(key).alias(parent)).distinct().withColumn("known", F.lit(True))
+    return df.select(key, parent).join(served, parent, "left").select(key, parent, F.coalesce("known", F.lit(False)).alias("known"))
+
+
 def upsert_provenance(old: DataFrame, batch: DataFrame, run_id: int) -> DataFrame:
     """Content-addressed records (source_id, natural_key, payload_sha, first_run, last_run): a known payload moves its last run, a new one enters."""
     keys = ["source_id", "natural_key", "payload_sha"]

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastra.functions.geo import polygons
+from cadastra.functions.similarity import name_similarity
+from cadastra.operators.linkage import components
+from cadastra.runtime import absent, materialize
 
 
 def box(geojson: Column) -> Column:
@@ -156,3 +159,24 @@ def geodesic_acres(square_degrees: Column, lat: Column) -> Column:
     """Acres of a small planar area on the authalic sphere at a latitude."""
     km2 = square_degrees * (math.pi * 6371.0072 / 180) ** 2 * F.cos(F.radians(lat))
     return km2 * 1e6 / 4046.8564224
+
+
+def merged_parks(parks: DataFrame, pairs: DataFrame, precedence: dict[str, int], columns: list[str], *, name_over: float = 0.5, iou_over: float = 0.6, last: int = 99) -> DataFrame:
+    """(cluster, source_id, natural_key, columns, merged_sources, merge_iou): parks of several sources that are one, once.
+
+    `parks` is (key, source_id, natural_key, name_normalized, columns); `pairs` (a, b, iou) comes from overlap_pairs().
+    Two parks of different sources are one if their boundaries' IoU and their names' similarity are both strictly above
+    the limits; links chain. The survivor is the source of lowest precedence, then the smallest natural key; blanks are
+    filled from the others in that order; merge_iou is the survivor's best pair, NULL for a park alone.
+    """
+    side = lambda x: parks.select(F.col("key").alias(x), F.col("source_id").alias("_s" + x), F.coalesce("name_normalized", F.lit("")).alias("_n" + x))
+    linked = pairs.where(F.col("iou") > iou_over).join(side("a"), "a").join(side("b"), "b").where((F.col("_sa") != F.col("_sb")) & (name_similarity(F.col("_na"), F.col("_nb")) > name_over))
+    linked = materialize(linked.select("a", "b", "iou"), "linked")
+    rows = parks.join(components(linked).withColumnRenamed("id", "key"), "key", "left").withColumn("cluster", F.coalesce("component", "key")).drop("component")
+    best = linked.select("a", "iou").unionByName(linked.select(F.col("b").alias("a"), "iou")).groupBy(F.col("a").alias("key")).agg(F.max("iou").alias("best"))
+    rows = rows.join(best, "key", "left")
+    rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in precedence.items() for x in kv]), F.col("source_id")), F.lit(last))
+    at = F.struct(rank.alias("r"), F.col("natural_key").alias("n"), F.col("source_id").alias("s"))
+    picks = [F.min_by(F.col(c), F.when(~absent(F.col(c).cast("string")), at)).alias(c) for c in columns]
+    out = rows.groupBy("cluster").agg(F.min_by(F.struct("source_id", "natural_key", "best"), at).alias("_b"), *picks, F.array_sort(F.collect_set(F.struct(at.alias("at"), F.col("key")))).alias("_m"))
+    return out.select("cluster", "_b.source_id", "_b.natural_key", *columns, F.array_join(F.transform("_m", lambda m: m["key"]), ",").alias("merged_sources"), F.col("_b.best").alias("merge_iou"))

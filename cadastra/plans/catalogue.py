@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastra.plans import problems, reference
+from cadastra.plans import pipeline, problems, reference
 
-MODULES = [problems, reference]
+MODULES = [problems, reference, pipeline]
 
 
 def queries() -> dict:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from cadastra.functions.geo import usable
 from cadastra.operators.snapshots import changed_records
 from cadastra.operators.spatial import containing_regions, near_pairs
-from cadastra.operators.unit_model import inferred_units
-from cadastra.operators.units import convert_sizes, positive_amounts
-from cadastra.runtime import latest_rows, materialize, record_key, table
+from cadastra.operators.unit_model import assigned_units, inferred_units
+from cadastra.operators.units import convert_sizes
+from cadastra.runtime import absent, latest_rows, materialize, record_key, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,19 +54,25 @@ def account_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_sizes(latest_rows(t, ["account_key"], "newest"), value="size_metric", unit="size_metric_unit")
 
 
+def all_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of both tables with what the unit model reads."""
+    columns = ["table_name", "record_key", "source_id", "account_type", "name_normalized", "size_given", "size_unit_name", "unit_text"]
+    sites = site_sizes(spark, sf_dir).select(F.lit("staging_sites").alias("table_name"), record_key().alias("record_key"), *columns[2:7], F.when(absent(F.col("size_unit")), F.col("size_metric")).otherwise(F.col("size_unit")).alias("unit_text"))
+    accounts = account_sizes(spark, sf_dir).select(F.lit("resolved_account").alias("table_name"), F.col("account_key").alias("record_key"), F.col("vertical").alias("source_id"), "account_type", F.lit(None).cast("string").alias("name_normalized"), *columns[5:7], F.col("size_metric_unit").alias("unit_text"))
+    # a measure's name is no unit: only what the tables don't read as one, and no unit at all, is a missing unit's text
+    both = sites.unionByName(accounts).withColumn("unit_text", F.when(F.col("size_unit_name").isNotNull(), F.col("unit_text")))
+    return materialize(both, "sizes")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = positive_amounts(site_sizes(spark, sf_dir), F.lit("staging_sites").alias("table_name"), record_key().alias("record_key"))
-    accounts = positive_amounts(account_sizes(spark, sf_dir), F.lit("resolved_account").alias("table_name"), F.col("account_key").alias("record_key"))
-    return sites.unionByName(accounts).select("table_name", "record_key", "measure", F.round(F.col("amount") * 100).cast("long").alias("amount_x100"))
+    """Records whose unit is stated: the model's unit after the exact check."""
+    found = assigned_units(all_sizes(spark, sf_dir)).where("route = 'stated' AND amount > 0")
+    return found.select("table_name", "record_key", "measure", F.round(F.col("amount") * 100).cast("long").alias("amount_x100"))
 
 
 def p6_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positive sizes without a stated unit, with the unit that the model gives them or their way to review."""
-    columns = ["table_name", "record_key", "source_id", "account_type", "name_normalized", "size_given", "size_unit_name"]
-    sites = site_sizes(spark, sf_dir).select(F.lit("staging_sites").alias("table_name"), record_key().alias("record_key"), *columns[2:])
-    accounts = account_sizes(spark, sf_dir).select(F.lit("resolved_account").alias("table_name"), F.col("account_key").alias("record_key"), F.col("vertical").alias("source_id"), "account_type", F.lit(None).cast("string").alias("name_normalized"), *columns[5:])
-    both = materialize(sites.unionByName(accounts), "sizes")
-    return inferred_units(both).withColumn("confidence", F.round("confidence", 4))
+    return inferred_units(all_sizes(spark, sf_dir)).withColumn("confidence", F.round("confidence", 4))
 
 
 def queries() -> dict:
