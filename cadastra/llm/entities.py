@@ -17,7 +17,7 @@ from cadastra.runtime import absent, materialize
 
 K1, B = 1.2, 0.3
 #: Records taken for a query, the best by score.
-TOP = 8
+TOP = 1000
 #: Share of a query's own score below which a record is none of them; 0 takes the best whatever their score.
 FLOOR = 0.4
 #: Records of a token that one task reads.
