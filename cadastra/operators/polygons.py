@@ -41,6 +41,15 @@ def planar_area(geojson: Column) -> Column:
     return F.aggregate(F.transform(polygons(geojson), whole), F.lit(0.0), lambda s, a: s + a)
 
 
+def is_box(geojson: Column) -> Column:
+    """True for one polygon of one closed ring of four corners, its sides along the axes in turn: it fills its box."""
+    parts = polygons(geojson)
+    ring = parts[0][0]
+    same = lambda i, j, k: ring[i][k] == ring[j][k]
+    sides = (same(0, 1, 0) & same(1, 2, 1) & same(2, 3, 0) & same(3, 0, 1)) | (same(0, 1, 1) & same(1, 2, 0) & same(2, 3, 1) & same(3, 0, 0))
+    return F.coalesce(F.when((F.size(parts) == 1) & (F.size(parts[0]) == 1) & (F.size(ring) == 5), sides & same(0, 4, 0) & same(0, 4, 1)), F.lit(False))
+
+
 def _edges(text: str | None) -> np.ndarray | None:
     if not text:
         return None
@@ -112,24 +121,44 @@ def common_area(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def overlap_pairs(left: DataFrame, right: DataFrame, *, cell: float = 0.5, same: bool = False) -> DataFrame:
+def overlap_pairs(left: DataFrame, right: DataFrame, *, cell: float = 0.5, same: bool = False, over: float | None = None) -> DataFrame:
     """(a, b, common, iou) of intersecting shapes of (key, geojson): boxes meet in a grid cell, then exact areas.
 
     A pair is formed only in the cell of its boxes' common south-west corner, so it is compared once. With
     `same`, left and right are one table and a < b. Areas of both and the common one give the union without building it.
+    With `over`, only pairs of a larger IoU: no more than the boxes' common part can be common, so the others are dropped
+    before their shapes are fetched; of two shapes that fill their boxes it is the common part. The cells hold numbers only, and are sorted and merged, never broadcast: the optimizer
+    takes a box for one row, however many cells it covers.
     """
+    def shapes(df: DataFrame) -> DataFrame:
+        g = F.col("geojson")
+        t = df.select("key", "geojson", box(g).alias("box"), is_box(g).alias("filled")).where("box.xmin IS NOT NULL")
+        t = t.withColumn("area", F.when(F.col("filled"), F.expr("(box.xmax - box.xmin) * (box.ymax - box.ymin)")).otherwise(planar_area(g)))
+        return materialize(t.withColumn("row", F.monotonically_increasing_id()), "shapes")
+
     def boxed(df: DataFrame, p: str) -> DataFrame:
-        t = df.select(F.col("key").alias(p), F.col("geojson").alias(p + "_g"), box(F.col("geojson")).alias(p + "_b"), planar_area(F.col("geojson")).alias(p + "_area")).where(F.col(p + "_b.xmin").isNotNull())
+        t = df.select(F.col("row").alias(p + "_row"), F.col("key").alias(p), F.col("box").alias(p + "_b"), F.col("filled").alias(p + "_filled"), F.col("area").alias(p + "_area"))
         b = F.col(p + "_b")
         return t.withColumn("cy", F.explode(F.sequence(F.floor(b["ymin"] / cell), F.floor(b["ymax"] / cell)))).withColumn("cx", F.explode(F.sequence(F.floor(b["xmin"] / cell), F.floor(b["xmax"] / cell))))
 
-    j = boxed(left, "a").join(boxed(right, "b"), ["cy", "cx"])
+    lefts = shapes(left)
+    rights = lefts if same else shapes(right)
+    j = boxed(lefts, "a").join(boxed(rights, "b").hint("merge"), ["cy", "cx"])
     a, b = F.col("a_b"), F.col("b_b")
     west, south = F.greatest(a["xmin"], b["xmin"]), F.greatest(a["ymin"], b["ymin"])
-    meet = (west < F.least(a["xmax"], b["xmax"])) & (south < F.least(a["ymax"], b["ymax"])) & (F.floor(west / cell) == F.col("cx")) & (F.floor(south / cell) == F.col("cy"))
+    east, north = F.least(a["xmax"], b["xmax"]), F.least(a["ymax"], b["ymax"])
+    meet = (west < east) & (south < north) & (F.floor(west / cell) == F.col("cx")) & (F.floor(south / cell) == F.col("cy"))
     j = j.where(meet & (F.col("a") < F.col("b") if same else F.lit(True)))
-    t = j.select("a", "b", "a_area", "b_area", common_area(F.col("a_g"), F.col("b_g")).alias("common")).where("common > 0")
-    return t.select("a", "b", "common", (F.col("common") / (F.col("a_area") + F.col("b_area") - F.col("common"))).alias("iou"))
+    j = j.withColumn("most", (east - west) * (north - south))
+    if over is not None:
+        j = j.where(F.col("most") * (1 + over) > (F.col("a_area") + F.col("b_area")) * (over * (1 - 1e-6)))
+    met = materialize(j.select("a", "b", "a_row", "b_row", "a_area", "b_area", "most", (F.col("a_filled") & F.col("b_filled")).alias("filled")), "met")
+    side = lambda df, p: df.select(F.col("row").alias(p + "_row"), F.col("geojson").alias(p + "_g"))
+    odd = met.where("NOT filled").join(side(lefts, "a"), "a_row").join(side(rights, "b"), "b_row").withColumn("common", common_area(F.col("a_g"), F.col("b_g")))
+    cols = ["a", "b", "a_area", "b_area", "common"]
+    t = met.where("filled").withColumn("common", F.col("most")).select(*cols).unionByName(odd.select(*cols)).where("common > 0")
+    t = t.select("a", "b", "common", (F.col("common") / (F.col("a_area") + F.col("b_area") - F.col("common"))).alias("iou"))
+    return t if over is None else t.where(F.col("iou") > over)
 
 
 def esri_to_geojson(rings: list[list[list[float]]]) -> dict | None:

@@ -11,7 +11,7 @@ from cadastra.functions.certificates import certificate_fields as parse_fields
 from cadastra.functions.geo import haversine_km
 from cadastra.functions.similarity import compound_name_similarity, jaro_winkler, name_similarity, trigram_similarity
 from cadastra.operators import core, enrichment, keyed, linkage, managers, polygons, quality, spatial
-from cadastra.runtime import absent, absent_number, latest_rows, materialize, record_key, table
+from cadastra.runtime import absent, absent_number, latest_rows, materialize, record_key, spread, table
 
 SITE_COLUMNS = ["source_id", "natural_key", "vertical", "account_type", "name_raw", "name_normalized", "address_line_1", "city", "state", "zip5", "phone_raw", "phone_normalized", "latitude", "longitude", "segment", "ein", "size_value", "loaded_at"]
 QUERIES: dict = {}
@@ -559,7 +559,7 @@ RECT = "(SELECT p_partkey AS k, ((p_partkey - p_partkey % 3) * 37 % 4001) / 8.0
 def rectangles(spark, sf_dir):
     third = F.pmod(F.col("p_partkey"), F.lit(3))
     base = F.col("p_partkey") - third
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), (F.pmod(base * 37, F.lit(4001)) / 8.0 + third / 16.0).alias("x0"), (F.pmod(base * 53, F.lit(3989)) / 8.0).alias("y0"), (0.5 + F.col("p_size") / 50.0).alias("w"), (0.5 + F.pmod(F.col("p_partkey"), F.lit(7)) / 7.0).alias("h"))
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select(F.col("p_partkey").alias("key"), (F.pmod(base * 37, F.lit(4001)) / 8.0 + third / 16.0).alias("x0"), (F.pmod(base * 53, F.lit(3989)) / 8.0).alias("y0"), (0.5 + F.col("p_size") / 50.0).alias("w"), (0.5 + F.pmod(F.col("p_partkey"), F.lit(7)) / 7.0).alias("h"))
     x1, y1 = F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
     at = lambda x, y: F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
     ring = F.concat_ws(",", at(F.col("x0"), F.col("y0")), at(x1, F.col("y0")), at(x1, y1), at(F.col("x0"), y1), at(F.col("x0"), F.col("y0")))
@@ -569,7 +569,7 @@ def rectangles(spark, sf_dir):
 @query("iou_pairs_rect", f"SELECT a, b, round(common / (wa + wb - common), 5) AS iou FROM (SELECT a.k AS a, b.k AS b, (least(a.x0 + a.w, b.x0 + b.w) - greatest(a.x0, b.x0)) * (least(a.y0 + a.h, b.y0 + b.h) - greatest(a.y0, b.y0)) AS common, a.w * a.h AS wa, b.w * b.h AS wb FROM {RECT} a JOIN {RECT} b ON a.k < b.k AND a.x0 < b.x0 + b.w AND b.x0 < a.x0 + a.w AND a.y0 < b.y0 + b.h AND b.y0 < a.y0 + a.h) WHERE common / (wa + wb - common) > 0.6 + 1e-9")
 def iou_pairs_rect(spark, sf_dir):
     r = rectangles(spark, sf_dir)
-    return polygons.overlap_pairs(r, r, same=True).where("iou > 0.6 + 1e-9D").select("a", "b", F.round("iou", 5).alias("iou"))
+    return polygons.overlap_pairs(r, r, same=True, over=0.6 + 1e-9).select("a", "b", F.round("iou", 5).alias("iou"))
 
 
 @query("max_overlap_units")
