@@ -198,7 +198,7 @@ def merged_parks(parks: DataFrame, pairs: DataFrame, precedence: dict[str, int],
     the limits; links chain. The survivor is the source of lowest precedence, then the smallest natural key; blanks are
     filled from the others in that order; merge_iou is the survivor's best pair, NULL for a park alone.
     """
-    side = lambda x: parks.select(F.col("key").alias(x), F.col("source_id").alias("_s" + x), F.coalesce("name_normalized", F.lit("")).alias("_n" + x))
+    side = lambda x: parks.select(F.col("key").alias(x), F.col("source_id").alias("_s" + x), F.coalesce("name_normalized", F.lit("")).alias("_n" + x)).hint("merge")
     linked = pairs.where(F.col("iou") > iou_over).join(side("a"), "a").join(side("b"), "b").where((F.col("_sa") != F.col("_sb")) & (name_similarity(F.col("_na"), F.col("_nb")) > name_over))
     linked = materialize(linked.select("a", "b", "iou"), "linked")
     rows = parks.join(components(linked).withColumnRenamed("id", "key"), "key", "left").withColumn("cluster", F.coalesce("component", "key")).drop("component")

@@ -255,7 +255,7 @@ def merged_parks(spark, sf_dir):
     r = rectangles(spark, sf_dir)
     third = F.pmod(F.col("key"), F.lit(3))
     rows = r.select("key", routes.looked_up(third.cast("string"), {str(k): v for k, v in SOURCES.items()}).alias("source_id"), F.col("key").cast("string").alias("natural_key"), F.concat(F.lit("PARK "), (F.pmod(F.col("key") - third, F.lit(50))).cast("string")).alias("name_normalized"), F.when(F.col("key") % 2 == 0, F.concat(F.lit("M"), F.col("key").cast("string"))).alias("manager"))
-    pairs = materialize(polygons.overlap_pairs(r, r, same=True).where("iou > 0.6 + 1e-9D"), "pairs")
+    pairs = materialize(polygons.overlap_pairs(r, r, same=True, over=0.6 + 1e-9), "pairs")
     out = polygons.merged_parks(rows, pairs, {"padus_parks": 10, "state_parks": 20, "local_parks": 30}, ["manager"])
     return out.select("source_id", "natural_key", "manager", "merged_sources", F.round("merge_iou", 5).alias("merge_iou"))
 

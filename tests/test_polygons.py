@@ -53,3 +53,13 @@ def test_what_fills_its_box(spark):
     ]
     got = {r.key for r in spark.createDataFrame(rows, "key string, geojson string").where(polygons.is_box(F.col("geojson"))).collect()}
     assert got == {"box", "turned", "one"}
+
+
+def test_parks_are_never_broadcast(spark, monkeypatch):
+    plans, write = [], polygons.materialize
+    monkeypatch.setattr(polygons, "materialize", lambda df, tag: plans.append(df) or write(df, tag))
+    parks = spark.createDataFrame([(1, "padus_parks", "1", "OAK", "M"), (2, "state_parks", "2", "OAK", None), (3, "state_parks", "3", "OAK", None)], "key long, source_id string, natural_key string, name_normalized string, manager string")
+    pairs = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.9), (1, 3, 0.5)], "a long, b long, iou double")
+    got = polygons.merged_parks(parks, pairs, {"padus_parks": 10}, ["manager"]).collect()
+    assert sorted((r.natural_key, r.manager, r.merged_sources, r.merge_iou) for r in got) == [("1", "M", "1,2", 0.9), ("3", None, "3", None)]
+    assert plans and not [p for p in plans if "Broadcast" in p._jdf.queryExecution().executedPlan().toString()]
