@@ -9,8 +9,10 @@ from cadastra.functions import keys as K
 from cadastra.functions import text as X
 from cadastra.functions.certificates import certificate_fields as parse_fields
 from cadastra.functions.geo import haversine_km
-from cadastra.functions.similarity import compound_name_similarity, jaro_winkler, name_similarity, trigram_similarity
+from cadastra.functions.many import compound_of
+from cadastra.functions.similarity import jaro_winkler, name_similarity, trigram_similarity
 from cadastra.operators import core, enrichment, keyed, linkage, managers, polygons, quality, spatial
+from cadastra.operators.blocked import compared_pairs
 from cadastra.runtime import absent, absent_number, latest_rows, materialize, record_key, spread, table
 
 SITE_COLUMNS = ["source_id", "natural_key", "vertical", "account_type", "name_raw", "name_normalized", "address_line_1", "city", "state", "zip5", "phone_raw", "phone_normalized", "latitude", "longitude", "segment", "ein", "size_value", "loaded_at"]
@@ -133,18 +135,22 @@ def _pairs_sql() -> str:
 PAIRS = _pairs_sql()
 
 
+def pair_blocks() -> list:
+    """Keys of the reference's blocks: state, zip and name prefix, state and phone, a 1-degree cell."""
+    phone, state = X.normalize_phone(F.col("phone_normalized")), F.coalesce("state", F.lit(""))
+    placed = ~absent_number(F.col("latitude")) & ~absent_number(F.col("longitude"))
+    return [
+        F.concat_ws(":", F.lit("szn"), state, X.normalize_zip(F.col("zip5")), F.left(F.coalesce("name_normalized", F.lit("")), F.lit(4))),
+        F.when(phone != "", F.concat_ws(":", F.lit("sph"), state, phone)),
+        F.when(placed, F.concat_ws(":", F.lit("geo"), F.floor("latitude").cast("string"), F.floor("longitude").cast("string"))),
+    ]
+
+
 def pairs(spark, sf_dir):
     """Facilities and provider rows that share one of the reference's blocks: state, zip and name prefix, state and phone, or a 1-degree cell; each pair once."""
     def side(df, x):
-        phone, state = X.normalize_phone(F.col("phone_normalized")), F.coalesce("state", F.lit(""))
-        placed = ~absent_number(F.col("latitude")) & ~absent_number(F.col("longitude"))
-        blocks = F.array(
-            F.concat_ws(":", F.lit("szn"), state, X.normalize_zip(F.col("zip5")), F.left(F.coalesce("name_normalized", F.lit("")), F.lit(4))),
-            F.when(phone != "", F.concat_ws(":", F.lit("sph"), state, phone)),
-            F.when(placed, F.concat_ws(":", F.lit("geo"), F.floor("latitude").cast("string"), F.floor("longitude").cast("string"))),
-        )
         cols = [F.col("natural_key").alias("key_" + x), X.normalize_name(F.col("name_raw")).alias("n" + x), F.col("address_line_1").alias("s" + x), F.col("latitude").alias("l" + x), F.col("longitude").alias("o" + x), F.col("phone_normalized").alias("p" + x)]
-        return df.select(*cols, F.filter(blocks, lambda k: k.isNotNull()).alias("blocks_" + x))
+        return df.select(*cols, F.filter(F.array(*pair_blocks()), lambda k: k.isNotNull()).alias("blocks_" + x))
 
     a = side(facilities(spark, sf_dir), "a").withColumn("block", F.explode("blocks_a"))
     b = side(sites(spark, sf_dir).where("source_id = 'nppes_practice_locations'"), "b").withColumn("block", F.explode("blocks_b"))
@@ -152,6 +158,14 @@ def pairs(spark, sf_dir):
     return a.join(b, "block").where(F.get(F.array_intersect("blocks_a", "blocks_b"), F.lit(0)) == F.col("block")).drop("block", "blocks_a", "blocks_b")
 
 
+def name_pairs(spark, sf_dir, similarity) -> DataFrame:
+    """(key_a, key_b, sim) of the names of pairs(), compared by parts of blocks."""
+    blocks = ["szn", "sph", "geo"]
+    side = lambda df: df.select(F.col("natural_key").alias("key"), X.normalize_name(F.col("name_raw")).alias("text"), *[k.alias(c) for k, c in zip(pair_blocks(), blocks)])
+    found = compared_pairs(side(facilities(spark, sf_dir)), side(sites(spark, sf_dir).where("source_id = 'nppes_practice_locations'")), blocks, similarity)
+    return found.withColumn("sim", F.round("sim", 6))
+
+
 LEV = "CASE WHEN trim(na) = '' OR trim(nb) = '' THEN 0.0 ELSE 1 - levenshtein(na, nb) / CAST(greatest(length(na), length(nb)) AS DOUBLE) END"
 JW = "CASE WHEN na = '' OR nb = '' THEN 0.0 ELSE jaro_winkler_similarity(na, nb) END"
 GRAMS = "list_transform(range(1, length({c}) - 1), lambda i: substring({c}, i, 3))"
@@ -175,7 +189,7 @@ def trigram_pairs(spark, sf_dir):
 
 @query("compound_pairs", f"SELECT key_a, key_b, round(0.6 * ({JW}) + 0.4 * coalesce({TRI}, 0.0), 6) AS sim FROM {PAIRS}")
 def compound_pairs(spark, sf_dir):
-    return pairs(spark, sf_dir).select("key_a", "key_b", F.round(compound_name_similarity(F.col("na"), F.col("nb")), 6).alias("sim"))
+    return name_pairs(spark, sf_dir, compound_of)
 
 
 @query("haversine_pairs", f"SELECT key_a, key_b, round({HAVERSINE.format(a='a', b='b')}, 6) AS km FROM (SELECT key_a, key_b, {{'latitude': la, 'longitude': oa}} AS a, {{'latitude': lb, 'longitude': ob}} AS b FROM {PAIRS} WHERE la IS NOT NULL AND lb IS NOT NULL AND oa IS NOT NULL AND ob IS NOT NULL AND NOT isnan(la) AND NOT isnan(lb) AND NOT isnan(oa) AND NOT isnan(ob))")
