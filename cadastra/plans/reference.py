@@ -9,8 +9,8 @@ from cadastra.functions import keys as K
 from cadastra.functions import text as X
 from cadastra.functions.certificates import certificate_fields as parse_fields
 from cadastra.functions.geo import haversine_km
-from cadastra.functions.many import compound_of
-from cadastra.functions.similarity import jaro_winkler, name_similarity, trigram_similarity
+from cadastra.functions.many import compound_of, trigrams_of
+from cadastra.functions.similarity import jaro_winkler, name_similarity
 from cadastra.operators import core, enrichment, keyed, linkage, managers, polygons, quality, spatial
 from cadastra.operators.blocked import compared_pairs
 from cadastra.runtime import absent, absent_number, latest_rows, materialize, record_key, spread, table
@@ -184,7 +184,7 @@ def jaro_winkler_pairs(spark, sf_dir):
 
 @query("trigram_pairs", f"SELECT key_a, key_b, round(coalesce({TRI}, 0.0), 6) AS sim FROM {PAIRS}")
 def trigram_pairs(spark, sf_dir):
-    return pairs(spark, sf_dir).select("key_a", "key_b", F.round(trigram_similarity(F.col("na"), F.col("nb")), 6).alias("sim"))
+    return name_pairs(spark, sf_dir, trigrams_of)
 
 
 @query("compound_pairs", f"SELECT key_a, key_b, round(0.6 * ({JW}) + 0.4 * coalesce({TRI}, 0.0), 6) AS sim FROM {PAIRS}")
